@@ -1,0 +1,6 @@
+"""Streaming surface.
+
+The jobs this package covers are batch only: there is no stream, watermark or
+stateful operator to re-express. The daily slice stays a batch job that can be
+run again safely, through dynamic partition overwrite (``sources.sinks``).
+"""
