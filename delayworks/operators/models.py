@@ -86,7 +86,7 @@ def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, de
     forest = multiclass_forest(label)
     grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
     search = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=BlendedEvaluator(label),
-                            numFolds=FOLDS, foldCol="fold", seed=SEED)
+                            numFolds=FOLDS, foldCol="fold", seed=SEED, parallelism=4)
     model = search.fit(with_folds(ready, keys))
     return model, search_rows(train.sparkSession, model, grid)
 
@@ -106,7 +106,7 @@ def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials
     regression = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", elasticNetParam=0.0, maxIter=50)
     grid = ParamGridBuilder().addGrid(regression.regParam, choices).build()
     search = CrossValidator(estimator=regression, estimatorParamMaps=grid, numFolds=FOLDS, foldCol="fold",
-                            evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED)
+                            evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
     model = search.fit(with_folds(ready, keys))
     return model, search_rows(train.sparkSession, model, grid)
 

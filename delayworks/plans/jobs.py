@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delayworks.operators import airports, cleaning, drift, features, joins, loans, models, prep, runs, weather
 from delayworks.operators import metrics as mx
-from delayworks.sources import readers, sinks
+from delayworks.sources import readers, schemas, sinks
 from delayworks.sources.staging import stage
 
 BRONZE_ORDER = ["sort_time", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM"]
@@ -103,7 +103,8 @@ def monthly_monitor(run_table: DataFrame, scores: DataFrame, labels: DataFrame,
 
 # --- stored runs --------------------------------------------------------------
 
-def run_bronze_flights(spark: SparkSession, folder: str, out: str, start, end, schema, day=None) -> None:
+def run_bronze_flights(spark: SparkSession, folder: str, out: str, start=None, end=None, day=None,
+                       schema=schemas.RAW_FLIGHT_TYPES) -> None:
     """Monthly files to the bronze table, by month, or one day to its daily slice."""
     raw = readers.read_day(spark, folder, day, schema) if day else readers.read_months(spark, folder, start, end, schema)
     sinks.write_partitioned(bronze_flights(raw, day), out, "snapshot_date" if day else "year_month",
@@ -122,8 +123,8 @@ def run_gold_flights(spark: SparkSession, silver: str, out: str, day=None, histo
     sinks.write_partitioned(gold_flights(spark.read.parquet(silver), day, past), out, "snapshot_date", BRONZE_ORDER[1:])
 
 
-def run_bronze_weather(spark: SparkSession, folder: str, out: str, schema, end=WEATHER_END, cutoff=CUTOFF) -> None:
-    raw = readers.read_csv(spark, folder, schema, recursive=True)
+def run_bronze_weather(spark: SparkSession, folder: str, out: str, end=WEATHER_END, cutoff=CUTOFF) -> None:
+    raw = readers.read_csv(spark, folder, {}, recursive=True)  # all text: dates are parsed once, at silver
     sinks.write_cutoff_split(weather.bronze_weather(raw, end), out, "extracted_date", cutoff, ["NAME", "DATE"])
 
 
@@ -155,8 +156,8 @@ def run_airports(spark: SparkSession, bronze: str, out: str, codes=None, **optio
         sinks.write_table(airports.airport_subset(stored, raw, codes), f"{out}/new_york")
 
 
-def run_loans(spark: SparkSession, path: str, out: str, schema) -> None:
-    silver = loans.loan_silver(readers.read_csv(spark, path, schema))
+def run_loans(spark: SparkSession, path: str, out: str) -> None:
+    silver = loans.loan_silver(readers.read_csv(spark, path, {}))
     sinks.write_partitioned(silver, out, "snapshot_date", ["loan_id"])
 
 

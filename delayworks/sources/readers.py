@@ -19,14 +19,19 @@ PARQUET_SUFFIXES = (".parquet", ".parq", ".pq")
 CSV_SUFFIXES = (".csv", ".csv.gz")
 
 
-def read_csv(spark: SparkSession, path, schema: T.StructType, recursive: bool = False) -> DataFrame:
-    """CSV with a header row and a declared schema; no inference pass over the data."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", recursive)
-        .csv(path)
-    )
+def read_csv(spark: SparkSession, path, schema: T.StructType | dict[str, str], recursive: bool = False) -> DataFrame:
+    """CSV with a header row and declared types; no inference pass over the data.
+
+    ``schema`` is a full schema or a map from column name to type: with a map the column
+    order comes from the header and a column outside it is text. A file whose header
+    disagrees is an error, not a silent misreading.
+    """
+    files = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    if isinstance(schema, dict):
+        types = {name.upper(): kind for name, kind in schema.items()}
+        header = files.csv(path).columns  # reads one line
+        schema = T.StructType([T.StructField(c, T.DataType.fromDDL(types.get(c.strip().upper(), "string"))) for c in header])
+    return files.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def month_file(year: int, month: int) -> str:

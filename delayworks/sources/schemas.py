@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Silver types of the flight table.
 FLIGHT_STRINGS = ("OP_UNIQUE_CARRIER", "ORIGIN", "DEST", "TAIL_NUM", "CANCELLATION_CODE")
@@ -18,6 +17,11 @@ FLIGHT_DOUBLES = (
     "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY",
 )
 FLIGHT_FLAGS = ("CANCELLED", "DIVERTED", "is_delayed_15", "IsWeekend", "IsPublicHoliday")
+# Types of the raw flight files: counts and flags may be written with decimals there.
+RAW_FLIGHT_TYPES = (
+    dict.fromkeys(FLIGHT_INTS, "int") | dict.fromkeys(FLIGHT_DOUBLES, "double")
+    | dict.fromkeys(("DISTANCE", "DISTANCE_GROUP", "CANCELLED", "DIVERTED"), "double")
+)
 # Silver types of the loan snapshot.
 LOAN_TYPES = {
     "loan_id": "string", "Customer_ID": "string", "loan_start_date": "date", "tenure": "int",
@@ -26,17 +30,9 @@ LOAN_TYPES = {
 }
 # Columns of the station observations.
 WEATHER_COLUMNS = ("DATE", "NAME", "WND", "CIG", "VIS", "TMP", "DEW", "SLP")
-# Reference tables of airports and frequencies.
-AIRPORT_COLUMNS = (
-    "id", "ident", "type", "name", "latitude_deg", "longitude_deg", "elevation_ft", "continent",
-    "iso_country", "iso_region", "municipality", "scheduled_service", "iata_code",
-)
-FREQUENCY_COLUMNS = ("id", "airport_ref", "airport_ident", "type", "description", "frequency_mhz")
-
-
-def text_schema(columns) -> T.StructType:
-    """All-string schema: raw text is kept as it is and typed later, in one place."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+# Columns of the reference tables that are not text.
+AIRPORT_TYPES = {"id": "bigint", "latitude_deg": "double", "longitude_deg": "double", "elevation_ft": "int"}
+FREQUENCY_TYPES = {"id": "bigint", "airport_ref": "bigint", "frequency_mhz": "double"}
 
 
 def try_resolve(df: DataFrame, name: str) -> str | None:
