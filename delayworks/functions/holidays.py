@@ -6,6 +6,9 @@ calendar table, no join and no Python function.
 
 from __future__ import annotations
 
+import datetime
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,31 +31,45 @@ FLOATING_DATES = (
 )
 
 
-def _on(date: Column, month: int, day: int, since: int) -> Column:
-    return (F.month(date) == month) & (F.dayofmonth(date) == day) & (F.year(date) >= since)
+def _place(month: int, day: int, weekday: int) -> int:
+    return month * 1000 + day * 10 + weekday
+
+
+def _rules() -> list[tuple[str, int, list[int]]]:
+    """(name, first year, places): a place is month, day and weekday in one number.
+
+    A fixed date counts on every weekday; when it falls on a Sunday or Saturday, the
+    Monday after or the Friday before is observed as well.
+    """
+    every = range(1, 8)
+    rules = [(n, since, [_place(m, d, w) for w in every]) for n, m, d, since in FIXED_DATES]
+    rules += [(n, since, [_place(m, d, dow) for d in range(first, last + 1)])
+              for n, m, dow, first, last, since in FLOATING_DATES]
+    for name, month, day, since in FIXED_DATES:
+        date = datetime.date(2023, month, day)  # no rule touches the end of February
+        before, after = date - datetime.timedelta(days=1), date + datetime.timedelta(days=1)
+        places = [_place(after.month, after.day, 2), _place(before.month, before.day, 6)]
+        rules.append((f"{name} (observed)", since, places))
+    return rules
+
+
+def _place_of(date: Column) -> Column:
+    return F.month(date) * 1000 + F.dayofmonth(date) * 10 + F.dayofweek(date)
 
 
 def holiday_name(date) -> Column:
     """Name of the holiday on a date, '(observed)' for a weekday standing in for a weekend; else null."""
     date = F.col(date) if isinstance(date, str) else date
-    weekday = F.dayofweek(date)
-    rules = []
-    for name, month, day, since in FIXED_DATES:
-        rules.append((_on(date, month, day, since), name))
-    for name, month, dow, first, last, since in FLOATING_DATES:
-        hit = (
-            (F.month(date) == month)
-            & (weekday == dow)
-            & F.dayofmonth(date).between(first, last)
-            & (F.year(date) >= since)
-        )
-        rules.append((hit, name))
-    for name, month, day, since in FIXED_DATES:
-        sunday = (weekday == 2) & _on(F.date_sub(date, 1), month, day, since)
-        saturday = (weekday == 6) & _on(F.date_add(date, 1), month, day, since)
-        rules.append((sunday | saturday, f"{name} (observed)"))
-    return F.coalesce(*[F.when(hit, F.lit(name)) for hit, name in rules])
+    place, year = _place_of(date), F.year(date)
+    return F.coalesce(*[F.when(place.isin(places) & (year >= since), F.lit(name)) for name, since, places in _rules()])
 
 
 def is_public_holiday(date="FlightDate") -> Column:
-    return F.when(holiday_name(date).isNotNull(), 1).otherwise(0).cast("int")
+    """1 on a holiday or its observed day. One set lookup per row for each first year."""
+    date = F.col(date) if isinstance(date, str) else date
+    by_year: dict[int, list[int]] = {}
+    for _, since, places in _rules():
+        by_year.setdefault(since, []).extend(places)
+    place, year = _place_of(date), F.year(date)
+    hits = [place.isin(places) & (year >= since) for since, places in sorted(by_year.items())]
+    return F.when(reduce(lambda a, b: a | b, hits), 1).otherwise(0).cast("int")
