@@ -78,7 +78,7 @@ def three_hour_bucket(block) -> Column:
     """'HHMM-HHMM' label of the three-hour bucket in which an hourly block starts."""
     block = _c(block)
     hour = F.substring(block, 1, 2).try_cast("int")
-    start = F.least(F.floor(hour / 3) * 3, F.lit(21)).cast("int")
+    start = F.when(hour >= 21, 21).otherwise(F.floor(hour / 3) * 3).cast("int")
     edge = lambda h: F.lpad(h.cast("string"), 2, "0")
     label = F.concat(edge(start), F.lit("00-"), edge(start + 2), F.lit("59"))
     return F.when(F.length(block) >= 4, label)
