@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delayworks.functions.flights import METRO, bucket_slot
 from delayworks.sources.staging import stage
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_CELLS = 5_000_000  # rows times columns: at some 20 bytes a cell, about 100 MB
 SALTS = 32
 
 # Weather columns that become features, and the ones dropped after the join.
@@ -20,15 +20,16 @@ WEATHER_KEYS = ("weather_airport", "weather_date", "weather_time")
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
+                max_cells: int = BROADCAST_CELLS, salts: int = SALTS) -> DataFrame:
     """Join rows to a table that is small next to them (usually one row per key).
 
-    The lookup is staged and counted. Up to ``max_rows`` it is broadcast and the rows
-    are not shuffled at all; beyond that the join is shuffled with salted keys, so that
-    one key holding a large share of the rows is spread over ``salts`` tasks.
+    The lookup is staged and its size taken. Up to ``max_cells`` (rows times columns) it
+    is broadcast and the rows are not shuffled at all; beyond that the join is shuffled
+    with salted keys, so that one key holding a large share of the rows is spread over
+    ``salts`` tasks.
     """
     lookup = stage(lookup, "lookup")
-    if lookup.count() <= max_rows:
+    if lookup.count() * len(lookup.columns) <= max_cells:
         return df.join(F.broadcast(lookup), on, how)
     return salted_join(df, lookup, on, how, salts)
 
@@ -78,7 +79,7 @@ def explode_legs(flights: DataFrame, metro=METRO, legs=("dep", "arr")) -> DataFr
 
 
 def join_weather(flights: DataFrame, weather: DataFrame, daily: bool = False, legs=("dep", "arr"),
-                 keep_leg: bool = False, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 keep_leg: bool = False, max_cells: int = BROADCAST_CELLS) -> DataFrame:
     """Weather at the metro end of each flight; flights without an observation keep nulls.
 
     ``daily`` leaves the date out of the key: both sides then hold one day only.
@@ -90,7 +91,7 @@ def join_weather(flights: DataFrame, weather: DataFrame, daily: bool = False, le
         lookup = lookup.drop("weather_date")
     else:
         rows, on = rows.withColumn("weather_date", F.col("FlightDate")), ["weather_date", *on]
-    joined = lookup_join(rows, lookup.where(F.col("weather_airport").isNotNull()), on, max_rows=max_rows)
+    joined = lookup_join(rows, lookup.where(F.col("weather_airport").isNotNull()), on, max_cells=max_cells)
     return joined.drop(*WEATHER_KEYS, *([] if keep_leg else ["leg"]))
 
 

@@ -87,11 +87,12 @@ def numeric_summary(df: DataFrame, columns=None) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
     """Pearson correlation of every pair of columns, from one pass over complete rows."""
     columns = list(columns)
-    pairs = [(a, b) for a in columns for b in columns]
+    half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}")
-                    for i, (a, b) in enumerate(pairs)])
+                    for i, (a, b) in enumerate(half)])
+    cell = {pair: i for i, pair in enumerate(half)} | {(b, a): i for i, (a, b) in enumerate(half)}
     rows = F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                              F.round(F.col(f"_{i}"), 6).alias("correlation")) for i, (a, b) in enumerate(pairs)])
+                              F.round(F.col(f"_{cell[a, b]}"), 6).alias("correlation")) for a in columns for b in columns])
     return wide.select(F.inline(rows))
 
 

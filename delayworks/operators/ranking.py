@@ -16,11 +16,12 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], measures:
     """Add ``before_<m>`` and ``total_<m>``: sums of a measure over the rows of the group that
     come earlier, and over the whole group.
 
-    ``df`` has one row per (group, order) value. The rows are range-partitioned into slices
+    ``df`` has one row per (group, order) value. It is staged, so that finding the slice
+    bounds does not compute it a second time. The rows are range-partitioned into slices
     of even size; a window runs inside each slice only, and the slice totals, at most one
     row per slice and group, are accumulated and joined back.
     """
-    ranged = df.repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id())
+    ranged = stage(df, "counts").repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id())
     ranged = stage(ranged, "running")
     totals = ranged.groupBy(*group, "_slice").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     per_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
@@ -79,7 +80,8 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
                 fraction: float | None = None, limit: int | None = None, flag: str = "selected") -> DataFrame:
     """Mark an exact share or number of rows per stratum: the first ones in hash order.
 
-    ``keys`` identify a row and strata are not null. A histogram over hash prefixes finds the slice that the cut
+    ``keys`` identify a row and strata are not null (rows that share a key are taken
+    together). A histogram over hash prefixes finds the slice that the cut
     falls into; only that slice (one part in 65,536) is ranked. The rows themselves are
     neither sorted nor shuffled.
     """

@@ -38,7 +38,7 @@ def join_arrival_weather(spark, d):
 @query("join_weather_salted", sql(f"SELECT {fl.ID_SQL}, leg, {SOME_SQL} FROM combined", "combined"))
 def join_weather_salted(spark, d):
     """The same join on the path taken when the weather is too large to broadcast."""
-    return combined(spark, d, keep_leg=True, max_rows=0).select(*ID, "leg", *SOME_WEATHER)
+    return combined(spark, d, keep_leg=True, max_cells=0).select(*ID, "leg", *SOME_WEATHER)
 
 
 @query("join_weather_daily", sql(f"""

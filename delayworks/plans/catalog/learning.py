@@ -187,8 +187,8 @@ def training_rows(spark, d):
 
 @query("train_multiclass")
 def train_multiclass(spark, d):
-    gold = stage(joining.combined(spark, d), "combined")
-    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), numTrees=10, maxDepth=5)
+    gold = stage(joining.combined(spark, d, keep_leg=True), "combined")
+    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), keys=(*KEYS, "leg"), numTrees=10, maxDepth=5)
     return mx.rounded(report)
 
 

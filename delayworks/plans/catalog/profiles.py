@@ -77,9 +77,6 @@ def correlation_matrix(spark, d):
     return profile.correlation_matrix(fx.flights(spark, d), DELAYS)
 
 
-_KINDS = {"BIGINT": ("l_orderkey", "l_partkey", "l_suppkey"), "INT": ("l_linenumber",)}
-
-
 @query("schema_report", sql(" UNION ALL ".join(
     f"SELECT {i + 1} AS \"position\", '{c}' AS \"column\", '{t}' AS type, 'flight' AS column_group, count(\"{c}\") AS n_values FROM flights"
     for i, (c, t) in enumerate(zip(FLIGHT_COLUMNS, (

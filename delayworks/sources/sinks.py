@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 def write_partitioned(df: DataFrame, path: str, by: str, order: list[str] | None = None, mode: str = "overwrite") -> None:
     """Table laid out by a column, replacing only the partitions that the frame holds.
 
-    Rows are range-partitioned on the partition column and the sort columns together,
-    so a day with a large share of the rows is spread over several tasks and files.
+    Rows of one partition value are brought together, so that it gets few files; the
+    rebalance splits a value with a large share of the rows over several tasks and files,
+    and computes the frame once (a range partitioning would compute it twice).
     """
     order = [c for c in (order or []) if c != by]
     (
-        df.repartitionByRange(by, *order)
+        df.hint("rebalance", F.col(by))
         .sortWithinPartitions(by, *order)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

@@ -67,7 +67,7 @@ def test_salted_join_equals_the_broadcast_join(spark, how):
     rows = spark.createDataFrame(skewed() + [(None, -1, 0.0)] * 3, "k int, i int, x double")
     lookup = spark.createDataFrame([(k, f"v{k}") for k in range(0, 150)] + [(3, "twice")], "k int, v string")
     wide = joins.lookup_join(rows, lookup, ["k"], how)
-    narrow = joins.lookup_join(rows, lookup, ["k"], how, max_rows=10, salts=7)
+    narrow = joins.lookup_join(rows, lookup, ["k"], how, max_cells=10, salts=7)
     assert "BroadcastHashJoin" in plan(wide) and "SortMergeJoin" in plan(narrow)
     key = lambda df: sorted(map(repr, df.collect()))
     assert key(wide) == key(narrow)
