@@ -82,8 +82,10 @@ def attach_volume(df: DataFrame, history: DataFrame | None = None) -> DataFrame:
         volume = volume_stats(daily_volume(df))
     else:
         volume = daily_volume(df).join(route_stats(history).drop("flights"), VOLUME_KEY[:2], "left")
-    volume = volume_zscore(volume).select(*VOLUME_KEY, "daily_flights", "volume_zscore")
-    return lookup_join(df, volume, VOLUME_KEY)
+    # A route without a carrier or an origin is counted, but has no statistics of its own.
+    known = F.col("OP_UNIQUE_CARRIER").isNotNull() & F.col("ORIGIN").isNotNull()
+    volume = volume_zscore(volume.withColumn("stddev_flights", F.when(known, F.col("stddev_flights"))))
+    return lookup_join(df, volume.select(*VOLUME_KEY, "daily_flights", "volume_zscore"), VOLUME_KEY, null_safe=True)
 
 
 def flight_counts(df: DataFrame) -> DataFrame:

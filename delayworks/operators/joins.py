@@ -20,21 +20,31 @@ WEATHER_KEYS = ("weather_airport", "weather_date", "weather_time")
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                max_cells: int = BROADCAST_CELLS, salts: int = SALTS) -> DataFrame:
+                max_cells: int = BROADCAST_CELLS, salts: int = SALTS,
+                null_safe: bool = False) -> DataFrame:
     """Join rows to a table that is small next to them (usually one row per key).
 
     The lookup is staged and its size taken. Up to ``max_cells`` (rows times columns) it
     is broadcast and the rows are not shuffled at all; beyond that the join is shuffled
     with salted keys, so that one key holding a large share of the rows is spread over
-    ``salts`` tasks.
+    ``salts`` tasks. ``null_safe`` lets a null key match a null key.
     """
     lookup = stage(lookup, "lookup")
     if lookup.count() * len(lookup.columns) <= max_cells:
-        return df.join(F.broadcast(lookup), on, how)
-    return salted_join(df, lookup, on, how, salts)
+        return _join(df, F.broadcast(lookup), on, how, null_safe)
+    return salted_join(df, lookup, on, how, salts, null_safe)
 
 
-def salted_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+def _join(df: DataFrame, lookup: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return df.join(lookup, on, how)
+    right = lookup.withColumnsRenamed({c: f"_key_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on]
+    return df.join(right, same, how).drop(*[f"_key_{c}" for c in on])
+
+
+def salted_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS,
+                null_safe: bool = False) -> DataFrame:
     """Shuffled lookup join with every key split ``salts`` ways.
 
     The salt hashes the row and the input split it comes from: copies of one row are
@@ -43,8 +53,7 @@ def salted_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "lef
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
     spread = df.withColumn("_salt", salt.cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    joined = spread.join(copies.hint("merge"), [*on, "_salt"], how).drop("_salt")
-    return joined
+    return _join(spread, copies.hint("merge"), [*on, "_salt"], how, null_safe).drop("_salt")
 
 
 def weather_lookup(weather: DataFrame) -> DataFrame:

@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import flag
 from delayworks.operators import metrics as mx
-from delayworks.operators.joins import lookup_join
 from delayworks.operators.prep import fill_from, fit_modes
+from delayworks.sources.staging import stage
 
 SEED = 42
 FOLDS = 3
+CLASSES = mx.CLASSES
+# Ranges of the random search over boosted trees.
+SEARCH = {
+    "maxIter": (300, 600), "stepSize": (0.03, 0.15), "maxDepth": (3, 6),
+    "subsamplingRate": (0.7, 0.95), "featureSubsetStrategy": (0.7, 0.95),
+}
+# Powers of ten of the search over regularisation, and its number of steps.
+STRENGTHS, STRENGTH_STEPS = (-2, 2), 20
 
 
 class BlendedEvaluator(Evaluator):
@@ -68,47 +77,82 @@ def with_folds(df: DataFrame, keys: list[str], folds: int = FOLDS) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int"))
 
 
-def multiclass_forest(label: str, **params) -> RandomForestClassifier:
-    """Tree ensemble for three classes; the library has boosted trees for two classes only."""
-    settings = {"numTrees": 20, "maxDepth": 6, "seed": SEED} | params
-    return RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="weight", **settings)
+def with_class_flags(df: DataFrame, label: str) -> DataFrame:
+    """A 0/1 column per class, the target of that class's trees."""
+    return df.withColumns({f"{label}_{k}": F.when(F.col(label) == k, 1.0).otherwise(0.0) for k in CLASSES})
 
 
-def fit_multiclass(train: DataFrame, label: str, numeric, categorical, **params) -> PipelineModel:
-    stages = feature_stages(numeric, categorical)
-    return Pipeline(stages=[*stages, multiclass_forest(label, **params)]).fit(train)
+def boosted_trees(label: str, **params) -> list[GBTClassifier]:
+    """Boosted trees for three classes: one weighted two-class booster per class."""
+    settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": SEED} | params
+    return [
+        GBTClassifier(labelCol=f"{label}_{k}", featuresCol="features", weightCol="weight", predictionCol=f"called_{k}", **settings)
+        .setRawPredictionCol(f"raw_{k}").setProbabilityCol(f"p_{k}")
+        for k in CLASSES
+    ]
 
 
-def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, depths=(4, 6), trees=(10,)):
-    """Grid search, three hash folds, blended objective. Returns the model and one row per setting."""
-    stages = feature_stages(numeric, categorical)
-    ready = Pipeline(stages=stages).fit(train).transform(train)
-    forest = multiclass_forest(label)
-    grid = ParamGridBuilder().addGrid(forest.maxDepth, list(depths)).addGrid(forest.numTrees, list(trees)).build()
-    search = CrossValidator(estimator=forest, estimatorParamMaps=grid, evaluator=BlendedEvaluator(label),
+def fit_multiclass(train: DataFrame, label: str, numeric, categorical, **params) -> PipelineModel:
+    stages = [*feature_stages(numeric, categorical), *boosted_trees(label, **params)]
+    return Pipeline(stages=stages).fit(with_class_flags(train, label))
+
+
+def random_settings(trials: int, ranges=None, seed: int = SEED) -> list[dict]:
+    """Settings drawn from the search ranges; the step size on a logarithmic scale."""
+    rng, ranges = random.Random(seed), SEARCH | (ranges or {})
+    drawn = []
+    for _ in range(trials):
+        low, high = ranges["stepSize"]
+        drawn.append({
+            "maxIter": rng.randint(*ranges["maxIter"]),
+            "stepSize": math.exp(rng.uniform(math.log(low), math.log(high))),
+            "maxDepth": rng.randint(*ranges["maxDepth"]),
+            "subsamplingRate": rng.uniform(*ranges["subsamplingRate"]),
+            "featureSubsetStrategy": str(rng.uniform(*ranges["featureSubsetStrategy"])),
+        })
+    return drawn
+
+
+def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict]):
+    """Search over settings with three hash folds and the blended objective.
+
+    Returns the model refitted with the best setting and one row per setting and parameter.
+    """
+    prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
+    ready = with_class_flags(prepared.transform(train), label)
+    trees = boosted_trees(label)
+    grid = [{getattr(t, name): value for t in trees for name, value in setting.items()} for setting in settings]
+    search = CrossValidator(estimator=Pipeline(stages=trees), estimatorParamMaps=grid, evaluator=BlendedEvaluator(label),
                             numFolds=FOLDS, foldCol="fold", seed=SEED, parallelism=4)
-    model = search.fit(with_folds(ready, keys))
-    return model, search_rows(train.sparkSession, model, grid)
+    found = search.fit(stage(with_folds(ready, keys), "folds"))
+    model = PipelineModel(stages=[*prepared.stages, *found.bestModel.stages])
+    return model, search_rows(train.sparkSession, found.avgMetrics, settings)
 
 
-def search_rows(spark, model: CrossValidatorModel, grid) -> DataFrame:
-    best = max(model.avgMetrics)
-    rows = [(i, p.name, float(v), float(score), bool(score == best))
-            for i, (setting, score) in enumerate(zip(grid, model.avgMetrics)) for p, v in setting.items()]
-    return spark.createDataFrame(rows, "trial int, param string, param_value double, objective double, best boolean")
+def search_rows(spark, scores: list[float], settings: list[dict]) -> DataFrame:
+    best = max(scores)
+    rows = [(i, name, str(value), float(score), bool(score == best))
+            for i, (setting, score) in enumerate(zip(settings, scores)) for name, value in setting.items()]
+    return spark.createDataFrame(rows, "trial int, param string, param_value string, objective double, best boolean")
 
 
 def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials: int = 3):
-    """Random search over the strength of an L2-regularised logistic regression, by AUC."""
-    rng = random.Random(SEED)
-    choices = sorted({10 ** (-4 + 4 * i / 19) for i in rng.sample(range(20), trials)})
-    ready = Pipeline(stages=feature_stages(numeric, categorical, scale=True)).fit(train).transform(train)
-    regression = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", elasticNetParam=0.0, maxIter=50)
-    grid = ParamGridBuilder().addGrid(regression.regParam, choices).build()
-    search = CrossValidator(estimator=regression, estimatorParamMaps=grid, numFolds=FOLDS, foldCol="fold",
-                            evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
-    model = search.fit(with_folds(ready, keys))
-    return model, search_rows(train.sparkSession, model, grid)
+    """Random search over the strength of a weighted, L2-regularised logistic regression, by AUC."""
+    low, high = STRENGTHS
+    steps = random.Random(SEED).sample(range(STRENGTH_STEPS), trials)
+    strengths = [10 ** (low + (high - low) * i / (STRENGTH_STEPS - 1)) for i in sorted(steps)]
+    # The library adds the penalty to the mean loss, so an inverse strength C is 1 / (C n).
+    n = train.count()
+    settings = [{"regParam": 1.0 / (c * n)} for c in strengths]
+    prepared = Pipeline(stages=feature_stages(numeric, categorical, scale=True)).fit(train)
+    regression = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", elasticNetParam=0.0,
+                                    standardization=False, maxIter=100)
+    search = CrossValidator(
+        estimator=regression, estimatorParamMaps=[{regression.regParam: s["regParam"]} for s in settings],
+        numFolds=FOLDS, foldCol="fold", evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
+    found = search.fit(stage(with_folds(prepared.transform(train), keys), "folds"))
+    model = PipelineModel(stages=[*prepared.stages, found.bestModel])
+    return model, search_rows(train.sparkSession, found.avgMetrics, settings)
 
 
 def fit_binary(train: DataFrame, label: str, numeric, categorical, **params) -> PipelineModel:
@@ -118,11 +162,18 @@ def fit_binary(train: DataFrame, label: str, numeric, categorical, **params) ->
     return Pipeline(stages=[*feature_stages(numeric, categorical), trees]).fit(train)
 
 
-def with_probabilities(scored: DataFrame, classes: int = 3) -> DataFrame:
-    """Probability columns and the most probable class of a scored frame."""
-    array = vector_to_array("probability")
-    wide = scored.withColumns({f"proba_{k}": F.coalesce(F.get(array, F.lit(k)), F.lit(0.0)) for k in range(classes)})
-    return wide.withColumn("pred_class", mx.argmax_class([f"proba_{k}" for k in range(classes)]))
+def with_probabilities(scored: DataFrame) -> DataFrame:
+    """Probability columns and the most probable class of a frame scored by three boosters."""
+    hit = {k: F.get(vector_to_array(f"p_{k}"), F.lit(1)) for k in CLASSES}
+    total = sum((hit[k] for k in CLASSES[1:]), hit[CLASSES[0]])
+    even = F.lit(1.0 / len(CLASSES))
+    wide = scored.withColumns({f"proba_{k}": F.coalesce(F.try_divide(hit[k], total), even) for k in CLASSES})
+    return wide.withColumn("pred_class", mx.argmax_class())
+
+
+def with_default_probability(scored: DataFrame) -> DataFrame:
+    """Probability of the positive class of a two-class model."""
+    return scored.withColumn("default_proba", F.get(vector_to_array("probability"), F.lit(1)))
 
 
 def score_multiclass(model: PipelineModel, df: DataFrame, keys: list[str], label: str | None = None) -> DataFrame:
@@ -137,14 +188,22 @@ def score_threshold(df: DataFrame, score: str, threshold: float = 0.5) -> DataFr
 
 
 def feature_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """Feature names with their importance, largest first."""
+    """Feature names with their importance, averaged over the boosters, largest first."""
     attributes = scored.schema["features"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
-    weights = model.stages[-1].featureImportances
-    rows = [(names[i], float(weights[i])) for i in range(weights.size)]
+    boosters = [s.featureImportances for s in model.stages if hasattr(s, "featureImportances")]
+    rows = [(names[i], float(sum(w[i] for w in boosters) / len(boosters))) for i in range(boosters[0].size)]
     return scored.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def evaluate_binary(scored: DataFrame, label: str, score: str = "default_proba", threshold: float = 0.5) -> DataFrame:
+    """AUC, Gini and the threshold metrics of a binary model as (metric, value) rows."""
+    ranked = mx.ranking_by_class(mx.binary_scores(scored, label, score))
+    ranking = ranked.select(F.col("auc"), mx.gini(F.col("auc")).alias("gini"))
+    called = scored.withColumn("_called", flag(F.col(score) >= threshold))
+    return mx.melt(ranking).unionByName(mx.melt(mx.classification_report(called, label, "_called")))
+
+
 def evaluate_multiclass(scored: DataFrame, label: str, fixed_classes: bool = True) -> DataFrame:
     """All training metrics as (metric, value) rows."""
     parts = [

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from delayworks.operators import cleaning, models, prep
+from delayworks.operators import cleaning, models, prep, runs
 from delayworks.operators import metrics as mx
 from delayworks.plans import fixtures as fx
 from delayworks.plans import jobs
@@ -188,7 +188,7 @@ def training_rows(spark, d):
 @query("train_multiclass")
 def train_multiclass(spark, d):
     gold = stage(joining.combined(spark, d, keep_leg=True), "combined")
-    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), keys=(*KEYS, "leg"), numTrees=10, maxDepth=5)
+    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), keys=(*KEYS, "leg"), maxIter=5, maxDepth=4)
     return mx.rounded(report)
 
 
@@ -196,7 +196,7 @@ def train_multiclass(spark, d):
 def feature_importance(spark, d):
     _, rows, numeric, text = training_rows(spark, d)
     train = stage(prep.class_weights(rows, LABEL), "train")
-    model = models.fit_multiclass(train, LABEL, numeric, text, numTrees=10, maxDepth=5)
+    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=5, maxDepth=4)
     return models.feature_importance(model, model.transform(train))
 
 
@@ -204,7 +204,7 @@ def feature_importance(spark, d):
 def score_multiclass(spark, d):
     gold, rows, numeric, text = training_rows(spark, d)
     train = stage(prep.class_weights(rows.where("FlightDate < date '2001-01-01'"), LABEL), "train")
-    model = models.fit_multiclass(train, LABEL, numeric, text, numTrees=10, maxDepth=5)
+    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=5, maxDepth=4)
     scored = models.score_multiclass(model, rows.where("FlightDate >= date '2001-01-01'"), ["snapshot_date", "flight_id"], LABEL)
     return scored.drop("predicted_at")
 
@@ -214,7 +214,8 @@ def tune_multiclass(spark, d):
     _, rows, numeric, text = training_rows(spark, d)
     sampled = prep.row_cap(stage(rows, "rows"), KEYS, prep.TUNING_ROWS)
     train = stage(prep.class_weights(sampled, LABEL), "train")
-    _, trials = models.tune_multiclass(train, LABEL, numeric, text, KEYS, depths=(3, 5), trees=(5,))
+    settings = models.random_settings(2, {"maxIter": (2, 4), "maxDepth": (3, 4)})
+    _, trials = models.tune_multiclass(train, LABEL, numeric, text, KEYS, settings)
     return trials
 
 
@@ -239,5 +240,24 @@ def train_binary(spark, d):
     rows, numeric, text = binary_rows(spark, d)
     split = stage(prep.stratified_split(rows, ["feature_id"], "label"), "split")
     model = models.fit_binary(split.where("split = 'train'"), "label", numeric, text, maxIter=5, maxDepth=3)
-    scored = models.with_probabilities(model.transform(split.where("split = 'test'")), 2)
-    return mx.rounded(mx.binary_metrics(stage(scored.select("label", "proba_1"), "scored"), "label", "proba_1"))
+    scored = models.with_default_probability(model.transform(split.where("split = 'test'")))
+    return mx.rounded(mx.binary_metrics(stage(scored.select("label", "default_proba"), "scored"), "label", "default_proba"))
+
+
+def credit_model(spark, d):
+    labels = runs.latest_label(fx.labels(spark, d), "load_order").select("Customer_ID", "snapshot_date", "label")
+    return jobs.credit_training(fx.features(spark, d), labels, "2000-01-01", 36, 6, ["fe_1", "fe_2", "fe_3"],
+                                ["Occupation", "Age_bin"], "feature_id", trials=2)
+
+
+@query("train_logreg")
+def train_logreg(spark, d):
+    _, _, report = credit_model(spark, d)
+    return mx.rounded(report)
+
+
+@query("score_binary")
+def score_binary(spark, d):
+    model, _, _ = credit_model(spark, d)
+    rows = models.fill_categories(fx.features(spark, d), fx.features(spark, d), ["Occupation"])
+    return jobs.credit_scores(model, rows, "2000-02-01", ["fe_1", "fe_2", "fe_3"]).drop("scored_at")

@@ -73,6 +73,40 @@ def training_metrics(gold: DataFrame, label: str = "IS_DELAYED", date_col: str =
     return model, split, reports[0].unionByName(reports[1])
 
 
+def credit_training(feature_table: DataFrame, labels: DataFrame, train_date, train_test_months: int, oot_months: int,
+                    numeric: list[str], categorical: list[str], key: str, ratio: float = 0.8, trials: int = 3):
+    """Labelled customer features, split around a training date; tuned regression; metrics per split.
+
+    Returns the model and (split, metric, value) rows for train, test and out-of-time.
+    """
+    rows = joins.features_with_labels(feature_table, labels).where("label is not null")
+    typed = rows.withColumns({c: F.col(c).try_cast("double") for c in (*numeric, "label")})
+    split = stage(prep.oot_split(typed, "label_snapshot_date", train_date, train_test_months, oot_months), "windows")
+    parts = prep.stratified_split(split.where("split = 'train_test'").drop("split"), [key], "label", ratio)
+    every = stage(parts.unionByName(split.where("split = 'oot'")), "splits")
+    train = every.where("split = 'train'")
+    filled = stage(models.fill_categories(every, train, categorical), "filled")
+    weighted = stage(prep.class_weights(filled.where("split = 'train'"), "label"), "train")
+    model, search = models.tune_logreg(weighted, "label", numeric, categorical, [key], trials)
+    scored = stage(models.with_default_probability(model.transform(filled)).select("split", "label", "default_proba"), "scored")
+    report = None
+    for name in ("train", "test", "oot"):
+        part = models.evaluate_binary(scored.where(F.col("split") == name), "label")
+        part = part.select(F.lit(name).alias("split"), "metric", "value")
+        report = part if report is None else report.unionByName(part)
+    return model, search, report
+
+
+def credit_scores(model, feature_table: DataFrame, day, numeric, threshold: float = 0.5) -> DataFrame:
+    """Default probability and flag of the customers of one label day."""
+    rows = readers.snapshot_slice(feature_table, day, "label_snapshot_date")
+    typed = rows.withColumns({c: F.col(c).try_cast("double") for c in numeric})
+    scored = models.with_default_probability(model.transform(typed))
+    flagged = models.score_threshold(scored, "default_proba", threshold)
+    return flagged.select("Customer_ID", "label_snapshot_date", "default_proba", "default",
+                          F.lit(day).cast("date").alias("snapshot_date"), F.current_timestamp().alias("scored_at"))
+
+
 def monitor_report(predictions: DataFrame, day, label: str = "IS_DELAYED") -> DataFrame:
     """Quality and drift of one day's predictions as (metric, value) rows."""
     today = stage(predictions.where(F.col("snapshot_date") == F.lit(day).cast("date")), "today")

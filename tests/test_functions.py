@@ -112,6 +112,13 @@ def test_null_flags_are_dropped_with_cancelled(spark):
     assert df.transform(cleaning.drop_cancelled).count() == 1
 
 
+def test_volume_counts_flights_with_missing_keys(spark):
+    rows = [("C", None, dt.date(2024, 1, 1)), ("C", None, dt.date(2024, 1, 1)), ("C", None, dt.date(2024, 1, 2)), ("C", "JFK", None)]
+    df = spark.createDataFrame(rows, "OP_UNIQUE_CARRIER string, ORIGIN string, FlightDate date")
+    got = sorted((str(r.ORIGIN), str(r.FlightDate), r.daily_flights, r.volume_zscore) for r in features.attach_volume(df).collect())
+    assert got == [("JFK", "None", 1, 0.0), ("None", "2024-01-01", 2, 0.0), ("None", "2024-01-01", 2, 0.0), ("None", "2024-01-02", 1, 0.0)]
+
+
 def test_volume_score_without_spread_is_zero(spark):
     rows = [("C", "JFK", dt.date(2024, 1, 1))] * 3
     df = spark.createDataFrame(rows, "OP_UNIQUE_CARRIER string, ORIGIN string, FlightDate date")

@@ -144,7 +144,7 @@ def test_daily_slice_can_run_twice(spark, lake):
 
 def test_train_score_and_monitor(spark, lake):
     combined = spark.read.parquet(lake["combined"])
-    model, split, report = jobs.training_metrics(combined, months=(4, 1, 1), numTrees=5, maxDepth=3)
+    model, split, report = jobs.training_metrics(combined, months=(4, 1, 1), maxIter=3, maxDepth=3)
     assert {r.split for r in split.select("split").distinct().collect()} == {"train", "val", "test"}
     values = {(r.split, r.metric): r.value for r in report.collect()}
     assert 0 < values["test", "roc_auc_macro_ovr"] <= 1 and 0 < values["val", "accuracy"] <= 1

@@ -6,7 +6,7 @@ from __spark_entry__ import oracle_sql, queries
 from tests.harness import compare, connect
 
 ORACLES = oracle_sql()
-MODELS = {"train_multiclass", "feature_importance", "score_multiclass", "tune_multiclass", "tune_logreg", "train_binary"}
+MODELS = {"train_multiclass", "feature_importance", "score_multiclass", "tune_multiclass", "tune_logreg", "train_binary", "train_logreg", "score_binary"}
 
 
 @pytest.fixture(scope="module")
