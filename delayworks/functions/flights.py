@@ -25,8 +25,8 @@ def flag(condition: Column) -> Column:
 
 def date_from_parts(year="YEAR", month="MONTH", day="DAY_OF_MONTH") -> Column:
     """Date from its parts; null when they do not form a date."""
-    text = F.concat_ws("-", _c(year).cast("string"), _c(month).cast("string"), _c(day).cast("string"))
-    return F.try_to_timestamp(text, F.lit("yyyy-M-d")).cast("date")
+    parts = [_c(p).try_cast("int") for p in (year, month, day)]
+    return F.try_make_timestamp_ntz(*parts, F.lit(0), F.lit(0), F.lit(0)).cast("date")
 
 
 def tolerant_date(column) -> Column:

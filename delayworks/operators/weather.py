@@ -19,12 +19,12 @@ FILLED = (
 
 
 def with_times(df: DataFrame) -> DataFrame:
-    """Observation time stamp, day and 'HH:mm' from the ISO text."""
-    stamp = F.try_to_timestamp(F.col("DATE"))
+    """Observation time stamp, day and 'HH:mm' from the ISO text, whatever the session's time zone."""
+    stamp = F.col("DATE").try_cast("timestamp_ntz")
     return df.select(*[c for c in WEATHER_COLUMNS if c != "DATE"], stamp.alias("timestamp")).select(
         "*",
-        F.to_date("timestamp").alias("date"),
-        F.date_format("timestamp", "HH:mm").alias("time"),
+        F.col("timestamp").cast("date").alias("date"),
+        F.substring(F.col("timestamp").cast("string"), 12, 5).alias("time"),
     )
 
 
@@ -150,7 +150,7 @@ def forecast_shift(df: DataFrame, lag_days: int = 1) -> DataFrame:
 
 def bronze_weather(raw: DataFrame, end=None) -> DataFrame:
     """Raw observations with their day, up to a last day."""
-    df = raw.withColumn("extracted_date", F.to_date(F.try_to_timestamp("DATE")))
+    df = raw.withColumn("extracted_date", F.col("DATE").try_cast("timestamp_ntz").cast("date"))
     return df.where(F.col("extracted_date") <= F.lit(end).cast("date")) if end else df
 
 

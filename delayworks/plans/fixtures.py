@@ -163,5 +163,6 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_source_file(flight_rows: DataFrame) -> DataFrame:
     """Name of the monthly file a flight would have been read from."""
-    name = F.format_string("T_ONTIME_REPORTING-%02d_%02d.csv", F.col("MONTH"), F.col("YEAR") % 100)
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    name = F.concat(F.lit("T_ONTIME_REPORTING-"), two(F.col("MONTH")), F.lit("_"), two(F.col("YEAR") % 100), F.lit(".csv"))
     return flight_rows.withColumn("source_file", name)
