@@ -101,8 +101,10 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
     falls = (F.col("before") < F.col("_quota")) & (F.col("before") + F.col("n") >= F.col("_quota"))
     edge = spots.where(falls).select(*group, "_p", (F.col("_quota") - F.col("before")).alias("need"))
     in_edge = lookup_join(hashed.select(*group, "_p", "_h"), edge, [*group, "_p"], "inner")
-    ranked = in_edge.withColumn("_r", F.row_number().over(Window.partitionBy(*group, "_p").orderBy("_h")))
-    cut = ranked.where(F.col("_r") == F.col("need")).select(*group, F.col("_h").alias("_cut"))
+    counted = in_edge.groupBy(*group, "_p", "_h", "need").agg(F.count("*").alias("n"))
+    upto = counted.withColumn("_upto", F.sum("n").over(Window.partitionBy(*group, "_p").orderBy("_h")))
+    reached = (F.col("_upto") >= F.col("need")) & (F.col("_upto") - F.col("n") < F.col("need"))
+    cut = upto.where(reached).select(*group, F.col("_h").alias("_cut"))
     bounds = spots.select(*group, "_all", "_quota").distinct().join(cut, group, "left")
     rows = lookup_join(hashed, bounds, group, "inner")
     inside = (F.col("_quota") >= F.col("_all")) | F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))

@@ -21,3 +21,8 @@ def test_only_model_queries_lack_sql():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(name, spark, small, con):
     assert compare(queries()[name](spark, small), con, ORACLES[name]) is None
+
+
+def test_trained_model_ranks_better_than_chance(spark, small):
+    values = {(r.split, r.metric): r.value for r in queries()["train_multiclass"](spark, small).collect()}
+    assert values["test", "roc_auc_macro_ovr"] > 0.8 and values["val", "roc_auc_macro_ovr"] > 0.8
