@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from delayworks.functions.flights import month_floor
 from delayworks.operators.joins import lookup_join
 from delayworks.operators.profile import numeric_columns
-from delayworks.operators.ranking import hash_select, long_values, quantiles
+from delayworks.operators.ranking import bounded_sample, hash_select, long_values, quantiles
 
 # Columns never used as features.
 ID_LIKE = ("flight_id", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "IsPublicHoliday", "is_extra_candidate")
@@ -67,7 +67,7 @@ def downsample_majority(df: DataFrame, keys: list[str], label: str, share: float
 
 def row_cap(df: DataFrame, keys: list[str], limit: int = TUNING_ROWS) -> DataFrame:
     """At most ``limit`` rows, the first in hash order (a tuning sample)."""
-    return hash_select(df, keys, limit=limit).where("selected").drop("selected")
+    return bounded_sample(df, keys, limit)
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:

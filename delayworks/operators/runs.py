@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import month_floor
 from delayworks.operators.cleaning import keep_first
-from delayworks.operators.joins import lookup_join
 from delayworks.sources.schemas import try_resolve
 
 # Names a score column may have, least ages for retraining.

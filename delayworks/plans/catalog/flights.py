@@ -11,7 +11,7 @@ from delayworks.plans import fixtures as fx
 from delayworks.plans import jobs
 from delayworks.plans import oracle
 from delayworks.plans.catalog.io import dated
-from delayworks.plans.oracle import KEY, METRO, SILVER_COLUMNS, sql
+from delayworks.plans.oracle import METRO, sql
 from delayworks.plans.registry import query
 from delayworks.sources.staging import stage
 

@@ -11,7 +11,6 @@ from delayworks.plans import jobs
 from delayworks.plans.catalog.io import dated
 from delayworks.plans.oracle import sql
 from delayworks.plans.registry import query
-from delayworks.sources import readers
 from delayworks.sources.staging import stage
 
 LABEL = "IS_DELAYED"

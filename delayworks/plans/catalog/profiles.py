@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from delayworks.operators import profile, ranking
 from delayworks.plans import fixtures as fx
 from delayworks.plans.catalog import flights as fl

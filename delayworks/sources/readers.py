@@ -148,9 +148,5 @@ def stitch(history: DataFrame, daily: DataFrame, train_date, months: int = 24) -
     return both.where(F.col("snapshot_date").between(start, end))
 
 
-def basename(column) -> F.Column:
-    return F.element_at(F.split(column, "/"), -1)
-
-
 def table_name_of(path: str) -> str:
     return re.sub(r"\.[^.]*$", "", path.rstrip("/").rsplit("/", 1)[-1])
