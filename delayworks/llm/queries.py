@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.llm import chat, quality, simhash, toxicity, vectors, warc
+from delayworks.llm import chat, mixing, packing, quality, simhash, toxicity, vectors, warc
 from delayworks.llm.common import held_out, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,13 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          F.col("t.spans").alias("spans"))
 
 
+@query("op3_packing")
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.stored_pieces(table(spark, folder, "documents"))
+    digests = pieces.select("id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.place(digests).withColumnRenamed("id", "doc_id")
+
+
 @query("op4_vectors")
 def op4_vectors(spark: SparkSession, folder: str) -> DataFrame:
     found = vectors.near_duplicates(table(spark, folder, "embeddings"))
@@ -70,3 +77,9 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hexadecimal("fp").alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixing.taken_words(mixed).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
