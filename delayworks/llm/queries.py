@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.llm import chat, mixing, packing, quality, simhash, toxicity, vectors, warc
+from delayworks.llm import chat, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
 from delayworks.llm.common import held_out, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,10 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixing.taken_words(mixed).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query("op9_minhash")
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.compare_edited(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
