@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from delayworks.sources.staging import scratch_path, stage
 
-__all__ = ["held_out", "pieces", "runs", "scratch_path", "stage", "table", "texts_of"]
+__all__ = ["free_name", "held_out", "pieces", "row_key", "runs", "scratch_path", "stage", "table", "texts_of"]
 
 PIECE_BYTES = 4 << 20
 
@@ -27,6 +27,19 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(ids.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """Names a row by its id and text; rows that share it are equal in both. Never null."""
+    return F.concat_ws(":", F.col(id_col).cast("string"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).cast("string"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def pieces(text: pa.Array, limit: int = PIECE_BYTES) -> Iterator[pa.Array]:
     """Slices of a text column of about ``limit`` bytes each, so that working arrays stay small whatever the batch."""
     sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)

@@ -1,8 +1,8 @@
 """Document fingerprints by one-permutation MinHash, in DataFrame expressions only.
 
 Every shingle of five words is hashed once. The top bits of a hash name its bin, the smallest hash of a bin is kept. An
-empty bin takes the value of a filled one: each bin tries the bins in a pseudorandom order of its own (the optimal
-densification: which filled bin it meets first depends on nothing but which bins are filled). The low-order byte of every
+empty bin takes the value of a filled one: each bin tries bins in a pseudorandom order of its own (the optimal
+densification: the bin it stops at depends on nothing but which bins are filled). The low-order byte of every
 bin is stored. Two fingerprints agree by chance in one byte of 256, and the likeness is corrected for that.
 
 Defined cases: a text under five words is one shingle, a null text is empty; a text without words has the fingerprint of
@@ -23,6 +23,8 @@ WORDS = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 LOW_BITS = 8
+#: Bins that an empty bin looks at one by one before it ranks all filled ones; few texts are short enough to need that.
+TRIES = 16
 BLANK = r"[\x20\x09-\x0D]+"
 #: Rows of one ordered bucket, and the most buckets (their cut points are what the driver holds).
 BUCKET_ROWS = 500
@@ -62,9 +64,12 @@ def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
         keys = F.transform(here, lambda x, p: F.xxhash64(i, _bin(x)).bitwiseAND(F.lit(-BINS)).bitwiseOR(p.cast("bigint")))
         return F.get(here, F.array_min(keys).bitwiseAND(F.lit(BINS - 1)).cast("int"))
 
-    full = F.transform(F.when(F.size(m) == BINS, here).otherwise(spread), lambda x, i: F.coalesce(x, borrowed(i)))
+    dense = f"{name}_d"
+    df = df.withColumn(dense, F.when(F.size(m) == 0, F.array().cast("array<bigint>")).when(F.size(m) == BINS, here).otherwise(spread))
+    tries = lambda i: (F.get(F.col(dense), F.xxhash64(i, F.lit(t)).bitwiseAND(F.lit(BINS - 1)).cast("int")) for t in range(TRIES))
+    full = F.transform(F.col(dense), lambda x, i: F.coalesce(x, *tries(i), borrowed(i)))
     low = F.transform(full, lambda x: (x.bitwiseAND(F.lit((1 << LOW_BITS) - 1)) - 128).cast("tinyint"))
-    return df.withColumn(name, F.when(F.size(m) == 0, F.array().cast("array<tinyint>")).otherwise(low)).drop(m)
+    return df.withColumn(name, low).drop(m, dense)
 
 
 def packed(signature: Column | str) -> Column:

@@ -16,6 +16,7 @@ each, is held by the driver: that is the bound on what it collects.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from delayworks.llm.common import stage
+from delayworks.llm.common import free_name, row_key, stage
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -153,7 +154,7 @@ def slots_of(sources: list[Source], shards: int, size: int, seed: int):
 
 @dataclass
 class Mix:
-    rows: DataFrame  # one per document: row (source_no, salt, place), id, hash, size, source_size, target
+    rows: DataFrame  # one per document: row (source_no, salt, place), id, key, size, source_size, target
     taken: DataFrame  # one per piece of a slot: row, block, first (word of the document), words, pass, shard, slot
     sources: list[Source]
 
@@ -165,7 +166,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> Mix:
     spark = docs.sparkSession
     sized = stage(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("hash"),
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), row_key(id_col, text_col).alias("key"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
     counted = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sources = sources_of([(r.source, int(r.size)) for r in counted], block)
@@ -173,12 +174,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                                   "name string, source_no int, source_size long, target double")
     salts = -(-sum(r.n for r in counted) // SALT_ROWS) or 1
     numbered = (sized.join(F.broadcast(names), sized["source"].eqNullSafe(names["name"]))
-                .withColumn("salt", F.pmod(F.xxhash64("id", "hash"), F.lit(salts)).cast("int")))
+                .withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")))
     # a source's words are laid out salt by salt, so that no window holds a whole source
-    within = Window.partitionBy("source_no", "salt").orderBy(F.asc_nulls_first("id"), "hash")
+    within = Window.partitionBy("source_no", "salt").orderBy(F.asc_nulls_first("id"), "key")
     laid = (numbered.withColumn("place", F.row_number().over(within))
             .withColumn("upto", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-    laid = stage(laid.select(*ROW, "id", "hash", "size", "source_size", "target", (F.col("upto") - F.col("size")).alias("offset")), "laid-out")
+    laid = stage(laid.select(*ROW, "id", "key", "size", "source_size", "target", (F.col("upto") - F.col("size")).alias("offset")), "laid-out")
     by_salt = laid.groupBy("source_no", "salt").agg(F.sum("size").alias("held"))
     before = Window.partitionBy("source_no").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_salt.select("source_no", "salt", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
@@ -203,24 +204,25 @@ def taken_words(mixed: Mix) -> DataFrame:
 
 
 def cut_words(text: str, runs: list[tuple[int, int]], pattern) -> str:
-    """The words in ``runs`` (first, number; ascending) with the white space after them as it stands in the text."""
+    """The words in ``runs`` (first, number; ascending) with the white space after them as it stands in the text.
+
+    A run of all words is the whole text from its first word on.
+    """
     starts = [m.start() for m in pattern.finditer(text)]
     ends = [*starts[1:], len(text)]
     return "".join(text[starts[a]:ends[a + n - 1]] for a, n in runs)
 
 
 def texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, hash, text)``: what the mix holds of each row. A second pass over a document follows the first on a new line.
+    """The rows that the mix takes words of, their text being those words. A second pass follows the first on a new line.
 
-    One row per document row that is taken from, a repeated row once for each of its rows.
+    Other columns stay; a repeated row is there once for each of its rows that is taken from.
     """
-    import re
-
     pattern = re.compile(WORD)
+    key = free_name(docs, "key")
     runs = (mixed.taken.groupBy(*ROW).agg(F.array_sort(F.collect_list(F.struct("pass", "first", "words"))).alias("runs"))
-            .join(mixed.rows.select(*ROW, "id", "hash"), ROW).select("id", "hash", "runs"))
-    whole = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("hash"),
-                        F.col(text_col).alias("text")).dropDuplicates(["id", "hash"])
+            .join(mixed.rows.select(*ROW, "key"), ROW).select(F.col("key").alias(key), F.col("runs").alias(f"{key}runs")))
+    whole = docs.withColumn(key, row_key(id_col, text_col)).dropDuplicates([key])
 
     @F.arrow_udf("string")
     def cut(text: pa.Array, runs: pa.Array) -> pa.Array:
@@ -232,5 +234,5 @@ def texts(docs: DataFrame, mixed: Mix, id_col: str = "doc_id", text_col: str = "
             out.append("\n".join(cut_words(t, r, pattern) for _, r in sorted(by_pass.items())))
         return pa.array(out, pa.string())
 
-    same = (runs["id"].eqNullSafe(whole["id"])) & (runs["hash"] == whole["hash"])
-    return runs.join(whole, same).select(runs["id"], runs["hash"], cut(whole["text"], runs["runs"]).alias("text"))
+    joined = whole.join(runs, key)
+    return joined.withColumn(text_col, cut(F.col(text_col), F.col(f"{key}runs"))).select(*docs.columns)

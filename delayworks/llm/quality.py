@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm import crf
-from delayworks.llm.common import held_out, pieces, texts_of
+from delayworks.llm.common import free_name, held_out, pieces, texts_of
 
 #: Most labelled documents of a class that the chain is fitted on: the classifier's only bound. Scoring reads every row.
 FIT_DOCUMENTS = 2000
@@ -164,6 +164,12 @@ def score(model: QualityModel, text: Column | str) -> Column:
     return scored.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
 
 
+def keep_good(docs: DataFrame, model: QualityModel, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose score reaches the threshold, with their columns."""
+    name = free_name(docs, "quality_score")
+    return docs.withColumn(name, score(model, text_col)).where(F.col(name) >= threshold).drop(name)
+
+
 def line_marginals(model: QualityModel, text: str) -> pd.DataFrame:
     """The lines of one text with their probability of being good."""
     lines = lines_of([text])

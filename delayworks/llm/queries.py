@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.llm import chat, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
+from delayworks.llm import chat, licenses, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
 from delayworks.llm.common import held_out, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.compare_edited(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint",
                         "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = table(spark, folder, "documents").select("doc_id", licenses.scan("text").alias("s"))
+    return found.select("doc_id", "s.*")

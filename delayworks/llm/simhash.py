@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delayworks.llm.common import pieces, stage
+from delayworks.llm.common import free_name, pieces, row_key, stage
 from delayworks.llm.graph import components
 
 WORDS = 3
@@ -178,15 +178,27 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp, component)`` for every row: its fingerprint and the smallest id it is linked with, however indirectly."""
-    rows = stage(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("fp")), "fingerprints")
+    """``(id, key, fp, group, component)`` for every row: its content key, fingerprint, the group it is linked with
+    however indirectly (named by one of its fingerprints), and the smallest id of that group."""
+    rows = stage(docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), fingerprint(F.col(text_col)).alias("fp")),
+                 "fingerprints")
     prints = stage(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
-    classes = components(link_fingerprints(prints))
-    named = prints.join(classes.withColumnRenamed("node", "fp"), "fp").select("fp", "component", "first")
-    lowest = named.groupBy("component").agg(F.min("first").alias("lowest"))
-    linked = named.join(lowest, "component").select("fp", "lowest")
-    by_print = stage(prints.join(linked, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("component")), "classes")
-    return rows.join(by_print, "fp").select("id", "fp", "component")
+    classes = components(link_fingerprints(prints)).withColumnRenamed("node", "fp").withColumnRenamed("component", "group")
+    named = prints.join(classes, "fp").select("fp", "group", "first")
+    lowest = named.groupBy("group").agg(F.min("first").alias("lowest"))
+    linked = named.join(lowest, "group").select("fp", "group", "lowest")
+    by_print = stage(prints.join(linked, "fp", "left").select(
+        "fp", F.coalesce("group", "fp").alias("group"), F.coalesce("lowest", "first").alias("component")), "classes")
+    return rows.join(by_print, "fp").select("id", "key", "fp", "group", "component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay when each group keeps the row of its smallest id (of equal ids and texts one row)."""
+    found = near_duplicates(docs, id_col, text_col)
+    kept = found.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("low")).select(F.col("low.key").alias("key"))
+    name = free_name(docs, "key")
+    keyed = docs.withColumn(name, row_key(id_col, text_col))
+    return keyed.join(kept.withColumnRenamed("key", name), name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 def hexadecimal(fp: Column | str) -> Column:

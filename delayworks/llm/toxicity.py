@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm import crf
-from delayworks.llm.common import pieces, texts_of
+from delayworks.llm.common import free_name, pieces, texts_of
 from delayworks.llm.quality import training_rows
 
 #: Most labelled documents of a class that the chain is fitted on: the classifier's only bound. Scoring reads every row.
@@ -216,3 +216,9 @@ def tag(model: ToxicityModel, text: Column | str) -> Column:
         return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))], ["score", "spans"])
 
     return tagged.asNondeterministic()(F.col(text) if isinstance(text, str) else text)
+
+
+def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows whose score stays below the threshold, with their columns."""
+    name = free_name(docs, "toxicity_tags")
+    return docs.withColumn(name, tag(model, text_col)).where(F.col(name)["score"] < threshold).drop(name)
