@@ -33,7 +33,8 @@ SHARE = 1.5
 MOST = 2
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
-SALT_ROWS = 50_000
+#: Documents of a source that are laid out together.
+SALT_ROWS = 5_000
 SEED = 11
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -170,11 +171,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes")
     counted = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     sources = sources_of([(r.source, int(r.size)) for r in counted], block)
-    names = spark.createDataFrame([(s.name, i, s.size, s.target) for i, s in enumerate(sources)],
-                                  "name string, source_no int, source_size long, target double")
-    salts = -(-sum(r.n for r in counted) // SALT_ROWS) or 1
+    rows = {r.source: r.n for r in counted}
+    names = spark.createDataFrame([(s.name, i, s.size, s.target, -(-rows[s.name] // SALT_ROWS)) for i, s in enumerate(sources)],
+                                  "name string, source_no int, source_size long, target double, salts int")
     numbered = (sized.join(F.broadcast(names), sized["source"].eqNullSafe(names["name"]))
-                .withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")))
+                .withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int")))
     # a source's words are laid out salt by salt, so that no window holds a whole source
     within = Window.partitionBy("source_no", "salt").orderBy(F.asc_nulls_first("id"), "key")
     laid = (numbered.withColumn("place", F.row_number().over(within))

@@ -7,8 +7,8 @@ simplex method and a knapsack over the capacity prices new patterns until none i
 number of times, the few pieces that rounding leaves over are placed first-fit decreasing. The counts have at most
 ``length / WIDTH`` rows and so does the program: its size does not depend on the number of documents.
 
-Pieces are ranked within their class, and rank alone names a piece's pattern, sequence and slot. Ranks come from counts
-per (class, salt), so a class of any size is never ordered in one task.
+Pieces are ranked within their class, and rank alone names a piece's pattern, sequence and slot. A large class is salted
+and ranks come from counts per (class, salt), so a class of any size is never ordered in one task.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and ids are packed separately; a null id is
 carried; an empty table gives no sequence. Only the named columns are read.
@@ -34,7 +34,8 @@ LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 WIDTH = 16
-SALT_ROWS = 50_000
+#: Pieces of a class that are ranked together.
+SALT_ROWS = 5_000
 #: Encoded words remembered per process.
 CACHE_WORDS = 1 << 20
 
@@ -255,14 +256,14 @@ def place(rows: DataFrame, length: int = LENGTH, width: int = WIDTH) -> DataFram
     marked = rows.withColumn("class", F.ceil(F.col("length") / width).cast("int"))
     histogram = {r["class"]: r["n"] for r in marked.groupBy("class").agg(F.count("*").alias("n")).collect()}
     planned = plan(histogram, length // width)
-    salts = -(-sum(histogram.values()) // SALT_ROWS) or 1
-    salted = marked.withColumn("salt", F.pmod(F.xxhash64("id", "start"), F.lit(salts)).cast("int"))
+    salts = [max(1, -(-histogram.get(c, 0) // SALT_ROWS)) for c in range(length // width + 1)]
+    salted = marked.withColumn("salt", F.pmod(F.xxhash64("id", "start"), F.get(F.lit(salts), F.col("class"))).cast("int"))
     before = Window.partitionBy("class").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     bases = (salted.groupBy("class", "salt").agg(F.count("*").alias("n"))
              .select("class", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
     order = [F.asc_nulls_first(c) for c in rows.columns if c != "ids"]
     ranked = (salted.withColumn("place", F.row_number().over(Window.partitionBy("class", "salt").orderBy(*order)))
-              .join(F.broadcast(bases) if salts * (length // width) < 100_000 else bases, ["class", "salt"])
+              .join(bases, ["class", "salt"])
               .withColumn("rank", F.col("base") + F.col("place") - 1).select(*rows.columns, "class", "rank"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema)
     assigned = ranked.mapInArrow(assigner(planned), f"{kinds}, sequence_id long, slot long")
