@@ -117,20 +117,23 @@ def drop_outliers(df: DataFrame) -> DataFrame:
 def cleaning_report(df: DataFrame) -> DataFrame:
     """Rows before, removed and after each silver step, from one pass over the bronze rows.
 
-    The rows are first reduced to one per flight key; the later steps are then counted
-    together in a single aggregate.
+    The rows are first reduced to one per flight key with the number of its copies; the steps are then counted together
+    in a single aggregate.
     """
-    clean = dedupe_flights(df).transform(enforce_types)
+    key = [resolve(df, c) for c in FLIGHT_KEY]
+    rest = sorted(c for c in df.columns if c not in key and c != "processing_timestamp")
+    first = df.groupBy(*key).agg(F.count("*").alias("_copies"), F.min(F.struct(*rest)).alias("_r"))
+    clean = enforce_types(first.select(*key, "_r.*", "_copies"))
     cancelled, diverted = _cancelled_or_diverted(clean)
     flown = F.coalesce((cancelled != 1) & (diverted != 1), F.lit(False))
     stated = F.coalesce(~_cancelled_with_delay(clean), F.lit(False))
-    raw = df.agg(F.count("*")).scalar()
     counts = clean.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("n0"),
         F.count("*").alias("n1"),
         F.count_if(flown).alias("n2"),
         F.count_if(flown & stated).alias("n3"),
         F.count_if(flown & stated & plausible()).alias("n4"),
-    ).withColumn("n0", raw)
+    )
     steps = ("duplicates", "cancelled_diverted", "cancelled_with_delay", "outliers")
     rows = [F.struct(F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"),
                      F.col(f"n{i}").alias("rows_before"),

@@ -36,7 +36,7 @@ def psi(counts: DataFrame, bins: int = BINS) -> DataFrame:
     binned = counts.select("score", "ref", "cur", edges.alias("edges"))
     last = F.size("edges") - 1
     below = F.size(F.filter("edges", lambda e: e <= F.col("score")))
-    place = F.when(F.col("score") == F.element_at("edges", -1), last).otherwise(below)
+    place = F.when(F.col("score") == F.try_element_at("edges", F.lit(-1)), last).otherwise(below)
     inside = binned.select("ref", "cur", place.alias("bin"), last.alias("n_bins")).where("bin between 1 and n_bins")
     per_bin = inside.groupBy("bin", "n_bins").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     # A bin that neither side reaches still counts in the smoothed shares.

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import METRO, bucket_slot
-from delayworks.sources.staging import stage
-
-BROADCAST_CELLS = 5_000_000  # rows times columns: at some 20 bytes a cell, about 100 MB
-SALTS = 32
 
 # Weather columns that become features, and the ones dropped after the join.
 WEATHER_FEATURES = (
@@ -19,43 +15,19 @@ WEATHER_FEATURES = (
 WEATHER_KEYS = ("weather_airport", "weather_date", "weather_time")
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left",
-                max_cells: int = BROADCAST_CELLS, salts: int = SALTS,
-                null_safe: bool = False) -> DataFrame:
-    """Join rows to a table that is small next to them (usually one row per key).
+def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", null_safe: bool = False) -> DataFrame:
+    """Join rows to a table with few rows per key.
 
-    The lookup is staged and its size taken. Up to ``max_cells`` (rows times columns) it
-    is broadcast and the rows are not shuffled at all; beyond that the join is shuffled
-    with salted keys, so that one key holding a large share of the rows is spread over
-    ``salts`` tasks. ``null_safe`` lets a null key match a null key.
+    The planner chooses by the lookup's size in bytes whether to broadcast it; a shuffled join with a hot key is split
+    at run time by its measured partition sizes. ``null_safe`` lets a null key match a null key.
     """
-    lookup = stage(lookup, "lookup")
-    if lookup.count() * len(lookup.columns) <= max_cells:
-        return _join(df, F.broadcast(lookup), on, how, null_safe)
-    return salted_join(df, lookup, on, how, salts, null_safe)
-
-
-def _join(df: DataFrame, lookup: DataFrame, on: list[str], how: str, null_safe: bool) -> DataFrame:
     if not null_safe:
         return df.join(lookup, on, how)
     right = lookup.withColumnsRenamed({c: f"_key_{c}" for c in on})
-    same = [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in on]
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_key_{c}`")) for c in on]
     return df.join(right, same, how).drop(*[f"_key_{c}" for c in on])
 
 
-def salted_join(df: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", salts: int = SALTS,
-                null_safe: bool = False) -> DataFrame:
-    """Shuffled lookup join with every key split ``salts`` ways.
-
-    The salt hashes the row and the input split it comes from: copies of one row are
-    spread too, and a task that is run again gives each row the same salt.
-    """
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(salts))
-    spread = df.withColumn("_salt", salt.cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return _join(spread, copies.hint("merge"), [*on, "_salt"], how, null_safe).drop("_salt")
-
-
 def weather_lookup(weather: DataFrame) -> DataFrame:
     """Weather with its join keys renamed and its features prefixed."""
     names = {c: f"weather_{c}" for c in WEATHER_FEATURES}
@@ -88,7 +60,7 @@ def explode_legs(flights: DataFrame, metro=METRO, legs=("dep", "arr")) -> DataFr
 
 
 def join_weather(flights: DataFrame, weather: DataFrame, daily: bool = False, legs=("dep", "arr"),
-                 keep_leg: bool = False, max_cells: int = BROADCAST_CELLS) -> DataFrame:
+                 keep_leg: bool = False) -> DataFrame:
     """Weather at the metro end of each flight; flights without an observation keep nulls.
 
     ``daily`` leaves the date out of the key: both sides then hold one day only.
@@ -100,7 +72,7 @@ def join_weather(flights: DataFrame, weather: DataFrame, daily: bool = False, le
         lookup = lookup.drop("weather_date")
     else:
         rows, on = rows.withColumn("weather_date", F.col("FlightDate")), ["weather_date", *on]
-    joined = lookup_join(rows, lookup.where(F.col("weather_airport").isNotNull()), on, max_cells=max_cells)
+    joined = lookup_join(rows, lookup.where(F.col("weather_airport").isNotNull()), on)
     return joined.drop(*WEATHER_KEYS, *([] if keep_leg else ["leg"]))
 
 

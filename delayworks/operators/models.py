@@ -8,7 +8,7 @@ import random
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from delayworks.functions.flights import flag
 from delayworks.operators import metrics as mx
-from delayworks.operators.prep import fill_from, fit_modes
+from delayworks.operators.prep import fit_modes
 from delayworks.sources.staging import stage
 
 SEED = 42
@@ -29,6 +29,8 @@ SEARCH = {
 }
 # Powers of ten of the search over regularisation, and its number of steps.
 STRENGTHS, STRENGTH_STEPS = (-2, 2), 20
+# Default budgets of the searches.
+TREE_TRIALS, LOGREG_TRIALS, LOGREG_ITERATIONS = 20, 20, 500
 
 
 class BlendedEvaluator(Evaluator):
@@ -48,14 +50,17 @@ class BlendedEvaluator(Evaluator):
         return True
 
 
-def feature_stages(numeric: list[str], categorical: list[str], scale: bool = False) -> list:
-    """Median imputation, one-hot encoding that ignores unknown values, assembly, optional scaling."""
-    filled = [f"{c}_filled" for c in numeric]
+def feature_stages(train: DataFrame, numeric: list[str], categorical: list[str], scale: bool = False) -> list:
+    """Median and mode imputation, one-hot encoding that ignores unknown values, assembly, optional scaling.
+
+    The modes of ``train`` are part of the stages: a saved pipeline fills nulls when it scores as it did in training.
+    """
+    filled, known = [f"{c}_filled" for c in numeric], [f"{c}_known" for c in categorical]
     index, hot = [f"{c}_index" for c in categorical], [f"{c}_hot" for c in categorical]
     stages = [Imputer(inputCols=numeric, outputCols=filled, strategy="median")]
     if categorical:
-        stages.append(StringIndexer(inputCols=categorical, outputCols=index, handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
+        stages.append(mode_filler(train, categorical))
+        stages.append(StringIndexer(inputCols=known, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True))
     stages.append(VectorAssembler(inputCols=filled + hot, outputCol="assembled" if scale else "features"))
     if scale:
@@ -63,9 +68,31 @@ def feature_stages(numeric: list[str], categorical: list[str], scale: bool = Fal
     return stages
 
 
-def fill_categories(df: DataFrame, train: DataFrame, categorical: list[str]) -> DataFrame:
-    modes = {r["column"]: r["mode"] for r in fit_modes(train, categorical).collect()} if categorical else {}
-    return fill_from(df, modes)
+def mode_filler(train: DataFrame, categorical: list[str]) -> SQLTransformer:
+    """``<c>_known``: the column with its training mode for nulls, as a stage that can be saved."""
+    modes = {r["column"]: r["mode"] for r in fit_modes(train, categorical).collect()}  # one row per column
+
+    def filled(c: str) -> str:
+        text = "NULL" if modes.get(c) is None else "'" + modes[c].replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return f"coalesce(CAST(`{c}` AS STRING), CAST({text} AS STRING)) AS `{c}_known`"
+
+    return SQLTransformer(statement=f"SELECT *, {', '.join(map(filled, categorical))} FROM __THIS__")
+
+
+def trained_columns(model: PipelineModel) -> tuple[list[str], list[str]]:
+    """Numeric and categorical columns that a fitted pipeline reads."""
+    numeric = [c for s in model.stages if s.hasParam("strategy") for c in s.getInputCols()]
+    text = [c.removesuffix("_known") for s in model.stages if s.hasParam("stringOrderType") for c in s.getInputCols()]
+    return numeric, text
+
+
+def check_columns(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """The frame with its trained numeric columns as numbers; an error that names the trained columns it lacks."""
+    numeric, text = trained_columns(model)
+    missing = [c for c in (*numeric, *text) if c not in df.columns]
+    if missing:
+        raise ValueError(f"the model was trained on columns that are missing: {', '.join(missing)}")
+    return as_doubles(df, numeric)
 
 
 def as_doubles(df: DataFrame, columns) -> DataFrame:
@@ -92,9 +119,12 @@ def boosted_trees(label: str, **params) -> list[GBTClassifier]:
     ]
 
 
-def fit_multiclass(train: DataFrame, label: str, numeric, categorical, **params) -> PipelineModel:
-    stages = [*feature_stages(numeric, categorical), *boosted_trees(label, **params)]
-    return Pipeline(stages=stages).fit(with_class_flags(train, label))
+def fit_multiclass(train: DataFrame, label: str, numeric, categorical, sample: DataFrame | None = None, **params) -> PipelineModel:
+    """Imputation and encodings fitted on ``train``; the boosters on it too, or on a sample of its rows."""
+    prepared = Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train)
+    ready = stage(with_class_flags(prepared.transform(train if sample is None else sample), label), "prepared")
+    trees = Pipeline(stages=boosted_trees(label, **params)).fit(ready)
+    return PipelineModel(stages=[*prepared.stages, *trees.stages])
 
 
 def random_settings(trials: int, ranges=None, seed: int = SEED) -> list[dict]:
@@ -113,13 +143,13 @@ def random_settings(trials: int, ranges=None, seed: int = SEED) -> list[dict]:
     return drawn
 
 
-def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict]):
-    """Search over settings with three hash folds and the blended objective.
+def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict], sample: DataFrame | None = None):
+    """Search over settings with three hash folds and the blended objective, on ``train`` or a sample of its rows.
 
     Returns the model refitted with the best setting and one row per setting and parameter.
     """
-    prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(train)
-    ready = with_class_flags(prepared.transform(train), label)
+    prepared = Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train)
+    ready = with_class_flags(prepared.transform(train if sample is None else sample), label)
     trees = boosted_trees(label)
     grid = [{getattr(t, name): value for t in trees for name, value in setting.items()} for setting in settings]
     search = CrossValidator(estimator=Pipeline(stages=trees), estimatorParamMaps=grid, evaluator=BlendedEvaluator(label),
@@ -136,7 +166,8 @@ def search_rows(spark, scores: list[float], settings: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, "trial int, param string, param_value string, objective double, best boolean")
 
 
-def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials: int = 3):
+def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials: int = LOGREG_TRIALS,
+                iterations: int = LOGREG_ITERATIONS):
     """Random search over the strength of a weighted, L2-regularised logistic regression, by AUC."""
     low, high = STRENGTHS
     steps = random.Random(SEED).sample(range(STRENGTH_STEPS), trials)
@@ -144,9 +175,9 @@ def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials
     # The library adds the penalty to the mean loss, so an inverse strength C is 1 / (C n).
     n = train.count()
     settings = [{"regParam": 1.0 / (c * n)} for c in strengths]
-    prepared = Pipeline(stages=feature_stages(numeric, categorical, scale=True)).fit(train)
+    prepared = Pipeline(stages=feature_stages(train, numeric, categorical, scale=True)).fit(train)
     regression = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", elasticNetParam=0.0,
-                                    standardization=False, maxIter=100)
+                                    standardization=False, maxIter=iterations)
     search = CrossValidator(
         estimator=regression, estimatorParamMaps=[{regression.regParam: s["regParam"]} for s in settings],
         numFolds=FOLDS, foldCol="fold", evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
@@ -159,7 +190,21 @@ def fit_binary(train: DataFrame, label: str, numeric, categorical, **params) ->
     """Boosted trees for two classes."""
     settings = {"maxIter": 10, "maxDepth": 4, "seed": SEED} | params
     trees = GBTClassifier(labelCol=label, featuresCol="features", **settings)
-    return Pipeline(stages=[*feature_stages(numeric, categorical), trees]).fit(train)
+    return Pipeline(stages=[*feature_stages(train, numeric, categorical), trees]).fit(train)
+
+
+def tune_binary(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict]):
+    """Search over settings of the two-class booster with three hash folds, by AUC.
+
+    Returns the model refitted with the best setting and one row per setting and parameter.
+    """
+    prepared = Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train)
+    trees = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED)
+    grid = [{getattr(trees, name): value for name, value in setting.items()} for setting in settings]
+    search = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(labelCol=label),
+                            numFolds=FOLDS, foldCol="fold", seed=SEED, parallelism=4)
+    found = search.fit(stage(with_folds(prepared.transform(train), keys), "folds"))
+    return PipelineModel(stages=[*prepared.stages, found.bestModel]), search_rows(train.sparkSession, found.avgMetrics, settings)
 
 
 def with_probabilities(scored: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +20,16 @@ def table_profile(df: DataFrame, date_col: str) -> DataFrame:
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """Rows and percentage per value of a column with few values."""
     counts = df.groupBy(target).agg(F.count("*").alias("n_rows"))
-    total = df.agg(F.count("*")).scalar()
+    total = F.sum("n_rows").over(Window.partitionBy(F.lit(0)))  # one row per value
     return counts.withColumn("pct", F.round(100.0 * F.col("n_rows") / total, 6))
 
 
 def distinct_counts(df: DataFrame, columns) -> DataFrame:
-    """Distinct values of each column, a null counted as a value of its own."""
+    """Distinct values of each column, a null counted as a value of its own.
+
+    The rows are first reduced to the distinct combinations, so that only those are counted once per column.
+    """
+    df = df.select(*columns).distinct()
     counts = [(F.count_distinct(F.col(c)) + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))).alias(c) for c in columns]
     return _unpivot(df.agg(*counts), columns, "n_distinct", "bigint")
 
@@ -37,8 +42,8 @@ def flag_rates(df: DataFrame, columns=FLAG_COLUMNS) -> DataFrame:
     return sums.select(F.inline(rows))
 
 
-def null_report(df: DataFrame, columns=None, top: int | None = 20) -> DataFrame:
-    """Nulls and coverage per column from one pass; the columns with most nulls first."""
+def null_report(df: DataFrame, columns=None, top: int | None = None) -> DataFrame:
+    """Nulls and coverage per column from one pass; with ``top``, the columns with most nulls only."""
     columns = list(columns or df.columns)
     sums = df.agg(F.count("*").alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in columns])
     rows = F.array(*[F.struct(
@@ -56,8 +61,8 @@ def counts_by(df: DataFrame, date_col: str, unit: str) -> DataFrame:
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
-    """Most frequent values; equal counts in order of the value."""
-    counts = df.groupBy(column).agg(F.count("*").alias("n_rows"))
+    """Most frequent values, nulls left out; equal counts in order of the value."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows"))
     return counts.orderBy(F.desc("n_rows"), column).limit(n)
 
 
@@ -84,9 +89,9 @@ def numeric_summary(df: DataFrame, columns=None) -> DataFrame:
     return basics.join(quartiles, "column")
 
 
-def correlation_matrix(df: DataFrame, columns) -> DataFrame:
-    """Pearson correlation of every pair of columns, from one pass over complete rows."""
-    columns = list(columns)
+def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
+    """Pearson correlation of every pair of columns (all numeric ones by default), each over the rows that have both."""
+    columns = list(columns or numeric_columns(df))
     half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}")
                     for i, (a, b) in enumerate(half)])

@@ -10,6 +10,8 @@ from delayworks.operators.joins import lookup_join
 from delayworks.sources.staging import stage
 
 PREFIX = 4  # hexadecimal digits: 65,536 slices of the hash range
+HASH_DIGITS = 32
+EDGE_ROWS = 1_000_000  # rows of a slice that one task may rank
 
 
 def running_totals(df: DataFrame, group: list[str], order: list[str], measures: list[str]) -> DataFrame:
@@ -80,37 +82,56 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
                 fraction: float | None = None, limit: int | None = None, flag: str = "selected") -> DataFrame:
     """Mark an exact share or number of rows per stratum: the first ones in hash order.
 
-    ``keys`` identify a row and strata are not null (rows that share a key are taken
-    together). A histogram over hash prefixes finds the slice that the cut
-    falls into; only that slice (one part in 65,536) is ranked. The rows themselves are
-    neither sorted nor shuffled.
+    Rows are ordered by the hash of ``keys``, rows that share it by a hash of all their columns; of equal rows any will
+    do, so they are counted and dealt out again. A null stratum is a stratum. A histogram over hash prefixes finds the
+    slice that the cut falls into, and the prefix is made longer until that slice is small; only its hashes are ranked.
+    Rows away from the cut are neither sorted nor shuffled.
     """
     group = strata or ["_g"]
     base = df if strata else df.withColumn("_g", F.lit(0))
-    hashed = base.withColumn("_h", hash_key(keys)).withColumn("_p", F.substring("_h", 1, PREFIX))
+    every = [F.col(f"`{c}`") for c in df.columns]
+    hashed = base.withColumns({"_h": hash_key(keys), "_t": F.md5(F.to_json(F.struct(*every)))})
     per = Window.partitionBy(*group)
-    running = per.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     total = F.sum("n").over(per)
     quota = F.lit(limit) if fraction is None else F.floor(total * F.lit(fraction))
+    counts = hashed.groupBy(*group, F.substring("_h", 1, PREFIX).alias("_p")).agg(F.count("*").alias("n"))
+    running = per.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(running), F.lit(0))
     # At most 65,536 rows per stratum, whatever the number of rows counted.
-    spots = stage(hashed.groupBy(*group, "_p").agg(F.count("*").alias("n")).select(
-        *group, "_p", "n", total.alias("_all"), quota.cast("bigint").alias("_quota"),
-        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"),
-    ), "histogram")
-    # The slice in which the cut falls, and how many of its rows are inside.
+    spots = stage(counts.select(*group, "_p", "n", total.alias("_all"), quota.cast("bigint").alias("_quota"), before.alias("before")), "histogram")
     falls = (F.col("before") < F.col("_quota")) & (F.col("before") + F.col("n") >= F.col("_quota"))
-    edge = spots.where(falls).select(*group, "_p", (F.col("_quota") - F.col("before")).alias("need"))
-    in_edge = lookup_join(hashed.select(*group, "_p", "_h"), edge, [*group, "_p"], "inner")
-    counted = in_edge.groupBy(*group, "_p", "_h", "need").agg(F.count("*").alias("n"))
-    upto = counted.withColumn("_upto", F.sum("n").over(Window.partitionBy(*group, "_p").orderBy("_h")))
-    reached = (F.col("_upto") >= F.col("need")) & (F.col("_upto") - F.col("n") < F.col("need"))
-    cut = upto.where(reached).select(*group, F.col("_h").alias("_cut"))
-    bounds = spots.select(*group, "_all", "_quota").distinct().join(cut, group, "left")
-    rows = lookup_join(hashed, bounds, group, "inner")
-    inside = (F.col("_quota") >= F.col("_all")) | F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False))
-    return rows.withColumn(flag, inside).select(*df.columns, flag)
+    edge = spots.where(falls).select(*group, "_p", "n", (F.col("_quota") - F.col("before")).alias("_need"))
+    digits = PREFIX
+    while digits < HASH_DIGITS and (edge.agg(F.max("n")).first()[0] or 0) > EDGE_ROWS:
+        inside = _in_slice(hashed, edge, group, digits)
+        digits += PREFIX
+        counts = inside.groupBy(*group, F.substring("_h", 1, digits).alias("_p"), "_need").agg(F.count("*").alias("n"))
+        finer = stage(counts.withColumn("before", before), "histogram")
+        falls = (F.col("before") < F.col("_need")) & (F.col("before") + F.col("n") >= F.col("_need"))
+        edge = finer.where(falls).select(*group, "_p", "n", (F.col("_need") - F.col("before")).alias("_need"))
+    counted = _in_slice(hashed, edge, group, digits).groupBy(*group, "_h", "_t", "_need").agg(F.count("*").alias("n"))
+    upto = counted.withColumn("_upto", F.sum("n").over(per.orderBy("_h", "_t").rowsBetween(Window.unboundedPreceding, 0)))
+    reached = (F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("n") < F.col("_need"))
+    cut = upto.where(reached).select(*group, F.col("_h").alias("_cut_h"), F.col("_t").alias("_cut_t"),
+                                     (F.col("_need") - F.col("_upto") + F.col("n")).alias("_take"))
+    bounds = lookup_join(spots.select(*group, "_all", "_quota").distinct(), cut, group, "left", null_safe=True)
+    bounds = stage(bounds, "bounds")  # one row per stratum
+    rows = lookup_join(hashed, bounds, group, "inner", null_safe=True)
+    whole = F.col("_quota") >= F.col("_all")
+    first = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col("_t") < F.col("_cut_t")))
+    at_cut = F.coalesce(~whole & (F.col("_h") == F.col("_cut_h")) & (F.col("_t") == F.col("_cut_t")), F.lit(False))
+    clear = rows.where(~at_cut).withColumn(flag, whole | F.coalesce(first, F.lit(False))).select(*every, flag)
+    copies = (rows.where(at_cut).groupBy(*group, "_take").agg(F.count("*").alias("n"), F.first(F.struct(*every)).alias("_row"))
+              .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))))
+    return clear.unionAll(copies.select("_row.*", (F.col("_i") <= F.col("_take")).alias(flag)))
+
+
+def _in_slice(hashed: DataFrame, edge: DataFrame, group: list[str], digits: int) -> DataFrame:
+    """Rows of the slices in ``edge``, with how many of them are wanted."""
+    keyed = hashed.select(*group, "_h", "_t", F.substring("_h", 1, digits).alias("_p"))
+    return lookup_join(keyed, edge.select(*group, "_p", "_need"), [*group, "_p"], "inner", null_safe=True)
 
 
 def bounded_sample(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """At most ``limit`` rows, the first in hash order."""
+    """``limit`` rows (all if there are fewer), the first in hash order."""
     return hash_select(df, keys, limit=limit).where("selected").drop("selected")

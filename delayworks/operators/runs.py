@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import month_floor
@@ -69,10 +70,13 @@ def retrain_decision(days: DataFrame, production: DataFrame, rule: str = "months
     ``production`` has one row per promotion. A day without a model retrains. Rule
     'months' counts calendar months, rule 'days' counts days.
     """
-    # Only the last promotion up to a day matters: one ordered list of dates is searched.
-    dates = production.agg(F.sort_array(F.collect_set("train_date"))).scalar()  # one entry per promotion date
-    earlier = F.filter("_dates", lambda d: d <= F.col("day"))
-    rows = days.withColumn("_dates", dates).withColumn("production_date", F.try_element_at(earlier, F.lit(-1))).drop("_dates")
+    # as-of join: promotions and days in one order, each day takes the last promotion before or on it
+    promoted = production.select(F.col("train_date").alias("_at"), F.col("train_date").alias("_promoted")).distinct()
+    asked = days.select(F.col("day").alias("_at"), F.lit(None).cast("date").alias("_promoted"), F.struct(*days.columns).alias("_row"))
+    both = promoted.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(asked)
+    upto = Window.partitionBy(F.lit(0)).orderBy("_at", F.asc_nulls_last("_promoted"))  # a row per day of the calendar
+    last = F.last("_promoted", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = both.withColumn("production_date", last).where("_row is not null").select("_row.*", "production_date")
     months = (F.year("day") - F.year("production_date")) * 12 + F.month("day") - F.month("production_date")
     age = F.datediff("day", "production_date")
     due = months >= RETRAIN_MONTHS if rule == "months" else age >= RETRAIN_DAYS

@@ -111,15 +111,17 @@ def date_range_scan(spark, d):
     UNION ALL SELECT 'mixed', o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders
     UNION ALL SELECT 'mixed', o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders""")
 def load_any(spark, d):
+    """Tables, text and a mixed folder; the text files list their columns in two orders."""
     base = scratch_path(spark, "any")
     rows = orders(spark, d).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     named = lambda origin: rows.select(F.lit(origin).alias("origin"), "*")
     schema = named("x").schema
+    turned = lambda df: df.select(*reversed(df.columns))
     named("parquet").drop("o_orderpriority").write.parquet(f"{base}/a.parquet")
     sinks.write_csv(named("text"), f"{base}/b.csv")
-    named("text").write.option("header", True).option("compression", "gzip").csv(f"{base}/c.csv.gz")
+    turned(named("text")).write.option("header", True).option("compression", "gzip").csv(f"{base}/c.csv.gz")
     named("mixed").write.parquet(f"{base}/mixed/p")
-    sinks.write_csv(named("mixed"), f"{base}/mixed/t")
+    sinks.write_csv(turned(named("mixed")), f"{base}/mixed/t")
     paths = [f"{base}/{name}" for name in ("a.parquet", "b.csv", "c.csv.gz", "mixed")]
     return readers.load_any(spark, *paths, schema=schema)
 
@@ -173,11 +175,13 @@ def sink_partitioned(spark, d):
 @query("sink_append", sql("""
     SELECT snapshot_date, flight_id, IS_DELAYED FROM preds""", "preds"))
 def sink_append(spark, d):
-    """Write the days up to a date, append everything: only the new days are added."""
+    """Write some days and half of another, append everything twice: late rows and new days are added, once."""
     path = scratch_path(spark, "appended")
     rows = fx.predictions(spark, d).select("snapshot_date", "flight_id", "IS_DELAYED")
-    sinks.write_partitioned(rows.where("snapshot_date < date '2025-01-20'"), path, "snapshot_date", ["flight_id"])
-    sinks.append_new_days(rows, path)
+    early = "snapshot_date < date '2025-01-19' or snapshot_date = date '2025-01-19' and IS_DELAYED = 0"
+    sinks.write_partitioned(rows.where(early), path, "snapshot_date", ["flight_id"])
+    for _ in range(2):
+        sinks.append_new_rows(rows, path)
     return spark.read.parquet(path)
 
 
@@ -217,17 +221,40 @@ def sink_predictions(spark, d):
 
 
 @query("sink_metrics", sql("""
-    SELECT 'class_' || IS_DELAYED AS metric, CAST(count(*) AS DOUBLE) AS value, DATE '2025-01-31' AS period
-    FROM preds GROUP BY IS_DELAYED""", "preds"))
+    SELECT 'class_' || IS_DELAYED AS metric, CAST(count(*) AS DOUBLE) AS value, snapshot_date AS period
+    FROM preds WHERE snapshot_date IN (DATE '2025-01-20', DATE '2025-01-21') GROUP BY IS_DELAYED, snapshot_date""", "preds"))
 def sink_metrics(spark, d):
+    """Two days written one after the other, the second twice: both stay."""
     path = scratch_path(spark, "metrics")
-    counts = profile.class_distribution(fx.predictions(spark, d), "IS_DELAYED")
-    rows = counts.select(F.concat(F.lit("class_"), "IS_DELAYED").alias("metric"),
-                         F.col("n_rows").cast("double").alias("value"), F.lit("2025-01-31").cast("date").alias("period"))
-    sinks.write_metrics(rows, path)
+    for day in ("2025-01-20", "2025-01-21", "2025-01-21"):
+        today = readers.snapshot_slice(fx.predictions(spark, d), day)
+        counts = profile.class_distribution(today, "IS_DELAYED")
+        rows = counts.select(F.concat(F.lit("class_"), "IS_DELAYED").alias("metric"),
+                             F.col("n_rows").cast("double").alias("value"), F.lit(day).cast("date").alias("period"))
+        sinks.write_metrics(rows, path)
     return spark.read.schema(rows.schema).json(path)
 
 
+@query("read_months", """
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, 'T_ONTIME_REPORTING-' || strftime(CAST(o_orderdate AS DATE), '%m_%y') || '.csv' AS source_file
+    FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30' AND month(CAST(o_orderdate AS DATE)) <> 3""")
+def read_months(spark, d):
+    """Monthly files with two orders of columns, one month missing, one outside the range."""
+    base = scratch_path(spark, "months")
+    rows = orders(spark, d).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    for month in (1, 2, 4, 5, 6, 7):
+        part = rows.where((F.year("o_orderdate") == 1996) & (F.month("o_orderdate") == month)).drop("o_orderdate")
+        part = part.select(*(part.columns if month % 2 else reversed(part.columns)))
+        sinks.write_csv(part.coalesce(1), f"{base}/parts/{month}")
+        made = fs.globStatus(to_path(f"{base}/parts/{month}/part-*"))[0].getPath()
+        fs.mkdirs(to_path(f"{base}/files"))
+        fs.rename(made, to_path(f"{base}/files/{readers.month_file(1996, month)}"))
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
+    return readers.read_months(spark, f"{base}/files", (1996, 1), (1996, 6), types)
+
+
 @query("load_report", sql("""
     SELECT count(*) AS rows_read, count(*) FILTER (WHERE FlightDate = DATE '1998-06-15') AS rows_on_day,
            count(*) FILTER (WHERE FlightDate = DATE '1998-06-15' AND (ORIGIN IN ('JFK', 'LGA', 'EWR') OR DEST IN ('JFK', 'LGA', 'EWR')))

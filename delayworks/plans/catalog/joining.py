@@ -21,8 +21,9 @@ SOME_SQL = ", ".join(SOME_WEATHER)
 DAY = "1998-06-15"
 
 
-def combined(spark, d, **options):
-    return jobs.gold_combined(fl.gold(spark, d), wx.silver(spark, d), **options)
+def combined(spark, d, merge=False, **options):
+    weather = wx.silver(spark, d)
+    return jobs.gold_combined(fl.gold(spark, d), weather.hint("merge") if merge else weather, **options)
 
 
 @query("join_departure_weather", sql(f"SELECT {fl.ID_SQL}, {SOME_SQL} FROM combined WHERE leg = 'dep'", "combined"))
@@ -38,7 +39,7 @@ def join_arrival_weather(spark, d):
 @query("join_weather_salted", sql(f"SELECT {fl.ID_SQL}, leg, {SOME_SQL} FROM combined", "combined"))
 def join_weather_salted(spark, d):
     """The same join on the path taken when the weather is too large to broadcast."""
-    return combined(spark, d, keep_leg=True, max_cells=0).select(*ID, "leg", *SOME_WEATHER)
+    return combined(spark, d, merge=True, keep_leg=True).select(*ID, "leg", *SOME_WEATHER)
 
 
 @query("join_weather_daily", sql(f"""

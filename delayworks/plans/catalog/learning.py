@@ -177,45 +177,60 @@ def feature_list(spark, d):
 LABEL = "IS_DELAYED"
 
 
+# Rounds and trials of the registered queries. A search of the library draws 20 settings of 300 to 600 rounds by default;
+# here it draws three settings of few rounds, so that a query ends in a minute on one machine.
+ROUNDS, DEPTH, TRIALS = 5, 4, 3
+SHORT = {"maxIter": (2, 4), "maxDepth": (3, 4)}
+
+
 def training_rows(spark, d):
-    """Stored gold flights, with folds, weights and categories filled."""
+    """Stored gold flights with weights."""
     gold = stage(fl.gold(spark, d), "gold")
     numeric, text = prep.feature_columns(gold, exclude=(LABEL, "FlightDate", "TAIL_NUM", "year_month"))
-    rows = models.as_doubles(gold, numeric)
-    return gold, models.fill_categories(rows, rows, text), numeric, text
+    return models.as_doubles(gold, numeric), numeric, text
 
 
 @query("train_multiclass")
 def train_multiclass(spark, d):
     gold = stage(joining.combined(spark, d, keep_leg=True), "combined")
-    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), keys=(*KEYS, "leg"), maxIter=5, maxDepth=4)
+    _, _, report = jobs.training_metrics(gold, months=(24, 3, 6), keys=(*KEYS, "leg"), maxIter=ROUNDS, maxDepth=DEPTH)
     return mx.rounded(report)
 
 
 @query("feature_importance")
 def feature_importance(spark, d):
-    _, rows, numeric, text = training_rows(spark, d)
+    rows, numeric, text = training_rows(spark, d)
     train = stage(prep.class_weights(rows, LABEL), "train")
-    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=5, maxDepth=4)
+    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=ROUNDS, maxDepth=DEPTH)
     return models.feature_importance(model, model.transform(train))
 
 
 @query("score_multiclass")
 def score_multiclass(spark, d):
-    gold, rows, numeric, text = training_rows(spark, d)
+    rows, numeric, text = training_rows(spark, d)
     train = stage(prep.class_weights(rows.where("FlightDate < date '2001-01-01'"), LABEL), "train")
-    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=5, maxDepth=4)
+    model = models.fit_multiclass(train, LABEL, numeric, text, maxIter=ROUNDS, maxDepth=DEPTH)
     scored = models.score_multiclass(model, rows.where("FlightDate >= date '2001-01-01'"), ["snapshot_date", "flight_id"], LABEL)
     return scored.drop("predicted_at")
 
 
+@query("score_multiclass_check", sql("""
+    SELECT snapshot_date, flight_id, IS_DELAYED, true AS sums_to_one, true AS most_probable FROM gold WHERE FlightDate >= DATE '2001-01-01'""", "gold"))
+def score_multiclass_check(spark, d):
+    """One scored row per flight: its probabilities sum to 1 and the class is the most probable one."""
+    scored = score_multiclass(spark, d)
+    top = F.greatest(*mx.PROBABILITIES)
+    named = F.element_at(F.array(*mx.PROBABILITIES), F.col("pred_class").cast("int") + 1)
+    return scored.select("snapshot_date", "flight_id", LABEL, (F.abs(sum((F.col(c) for c in mx.PROBABILITIES), F.lit(0.0)) - 1) < 1e-9).alias("sums_to_one"),
+                         (named == top).alias("most_probable"))
+
+
 @query("tune_multiclass")
 def tune_multiclass(spark, d):
-    _, rows, numeric, text = training_rows(spark, d)
-    sampled = prep.row_cap(stage(rows, "rows"), KEYS, prep.TUNING_ROWS)
-    train = stage(prep.class_weights(sampled, LABEL), "train")
-    settings = models.random_settings(2, {"maxIter": (2, 4), "maxDepth": (3, 4)})
-    _, trials = models.tune_multiclass(train, LABEL, numeric, text, KEYS, settings)
+    rows, numeric, text = training_rows(spark, d)
+    train = stage(prep.class_weights(stage(rows, "rows"), LABEL), "train")
+    sample = stage(prep.row_cap(train, KEYS, prep.TUNING_ROWS), "sample")
+    _, trials = models.tune_multiclass(train, LABEL, numeric, text, KEYS, models.random_settings(TRIALS, SHORT), sample)
     return trials
 
 
@@ -223,15 +238,14 @@ def binary_rows(spark, d):
     rows = joining.features_labels_inner(spark, d).where("label is not null")
     rows = models.as_doubles(prep.coerce_numeric(rows, ("feature_id", "Customer_ID", "label_snapshot_date", "Occupation", "Age_bin")),
                              ["fe_1", "fe_2", "fe_3", "label"])
-    text = ["Occupation", "Age_bin"]
-    return models.fill_categories(stage(rows, "binary"), rows, text), ["fe_1", "fe_2", "fe_3"], text
+    return stage(rows, "binary"), ["fe_1", "fe_2", "fe_3"], ["Occupation", "Age_bin"]
 
 
 @query("tune_logreg")
 def tune_logreg(spark, d):
     rows, numeric, text = binary_rows(spark, d)
     train = stage(prep.class_weights(rows, "label"), "train")
-    _, trials = models.tune_logreg(train, "label", numeric, text, ["feature_id"], trials=2)
+    _, trials = models.tune_logreg(train, "label", numeric, text, ["feature_id"], trials=TRIALS)
     return trials
 
 
@@ -239,7 +253,8 @@ def tune_logreg(spark, d):
 def train_binary(spark, d):
     rows, numeric, text = binary_rows(spark, d)
     split = stage(prep.stratified_split(rows, ["feature_id"], "label"), "split")
-    model = models.fit_binary(split.where("split = 'train'"), "label", numeric, text, maxIter=5, maxDepth=3)
+    model, _ = models.tune_binary(stage(split.where("split = 'train'"), "train"), "label", numeric, text, ["feature_id"],
+                                  models.random_settings(TRIALS, SHORT))
     scored = models.with_default_probability(model.transform(split.where("split = 'test'")))
     return mx.rounded(mx.binary_metrics(stage(scored.select("label", "default_proba"), "scored"), "label", "default_proba"))
 
@@ -247,7 +262,7 @@ def train_binary(spark, d):
 def credit_model(spark, d):
     labels = runs.latest_label(fx.labels(spark, d), "load_order").select("Customer_ID", "snapshot_date", "label")
     return jobs.credit_training(fx.features(spark, d), labels, "2000-01-01", 36, 6, ["fe_1", "fe_2", "fe_3"],
-                                ["Occupation", "Age_bin"], "feature_id", trials=2)
+                                ["Occupation", "Age_bin"], "feature_id", trials=TRIALS)
 
 
 @query("train_logreg")
@@ -259,5 +274,14 @@ def train_logreg(spark, d):
 @query("score_binary")
 def score_binary(spark, d):
     model, _, _ = credit_model(spark, d)
-    rows = models.fill_categories(fx.features(spark, d), fx.features(spark, d), ["Occupation"])
-    return jobs.credit_scores(model, rows, "2000-02-01", ["fe_1", "fe_2", "fe_3"]).drop("scored_at")
+    return jobs.credit_scores(model, fx.features(spark, d), "2000-02-01").drop("scored_at")
+
+
+@query("score_binary_check", sql("""
+    SELECT Customer_ID, label_snapshot_date, true AS in_range, true AS flag_agrees FROM fx_features
+    WHERE label_snapshot_date = DATE '2000-02-01'""", "fx_features"))
+def score_binary_check(spark, d):
+    """One scored row per customer of the day, nulls filled as in training; the flag follows the probability."""
+    p = F.col("default_proba")
+    return score_binary(spark, d).select("Customer_ID", "label_snapshot_date", p.between(0, 1).alias("in_range"),
+                                         ((p >= 0.5).cast("int") == F.col("default")).alias("flag_agrees"))

@@ -37,13 +37,13 @@ def counts_by_month(spark, d):
 
 
 @query("top_values", sql("""
-    SELECT TAIL_NUM, count(*) AS n_rows FROM flights GROUP BY TAIL_NUM ORDER BY n_rows DESC, TAIL_NUM LIMIT 10""", "flights"))
+    SELECT TAIL_NUM, count(*) AS n_rows FROM flights WHERE TAIL_NUM IS NOT NULL GROUP BY TAIL_NUM ORDER BY n_rows DESC, TAIL_NUM LIMIT 10""", "flights"))
 def top_values(spark, d):
     return profile.top_values(fx.flights(spark, d), "TAIL_NUM", 10)
 
 
 @query("day_category_pivot", """
-    WITH top AS (SELECT event_type FROM events GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3),
+    WITH top AS (SELECT event_type FROM events WHERE event_type IS NOT NULL GROUP BY event_type ORDER BY count(*) DESC, event_type LIMIT 3),
     names AS (SELECT event_type, row_number() OVER (ORDER BY event_type) AS i FROM top)
     SELECT CAST(ts AS DATE) AS day, count(*) FILTER (WHERE i = 1) AS n_first, count(*) FILTER (WHERE i = 2) AS n_second,
            count(*) FILTER (WHERE i = 3) AS n_third FROM events LEFT JOIN names USING (event_type) GROUP BY 1""")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.operators import airports, cleaning, drift, features, joins, loans, models, prep, runs, weather
+from delayworks.operators import airports, cleaning, drift, features, joins, loans, models, prep, runs, validate, weather
 from delayworks.operators import metrics as mx
 from delayworks.sources import readers, schemas, sinks
 from delayworks.sources.staging import stage
@@ -41,54 +42,66 @@ def gold_flights(silver: DataFrame, day=None, history: DataFrame | None = None)
 
 
 def gold_combined(gold: DataFrame, silver_weather: DataFrame, day=None, **options) -> DataFrame:
-    """Flight features with the weather at their metro end."""
+    """Flight features with the weather at their metro end; ``day`` reads one slice of each stored table."""
     if day is None:
         return joins.join_weather(gold, silver_weather, **options)
     flights = readers.snapshot_slice(gold, day)
     slots = silver_weather.where(F.col("date") == F.lit(day).cast("date"))
+    if "slice" in silver_weather.columns:  # stored weather is laid out by slice
+        slots = slots.where(F.col("slice").isin("history", F.lit(day).cast("date").cast("string")))
     return joins.join_weather(flights, slots, daily=True, **options).drop("FlightDate")
 
 
+def training_rows(gold: DataFrame, label: str, date_col: str, months, keys: list[str]):
+    """Usable rows, downsampled and split by month: the split table and its numeric and text features."""
+    usable, _ = cleaning.coerce_dates(gold, date_col, label)
+    sampled = prep.downsample_majority(stage(usable, "usable"), keys, label)
+    numeric, text = prep.feature_columns(sampled, exclude=(label, date_col, "leg", "TAIL_NUM", "year_month", "slice"))
+    split = stage(models.as_doubles(prep.time_split(sampled, date_col, *months), numeric), "split")
+    return split, numeric, text
+
+
 def training_metrics(gold: DataFrame, label: str = "IS_DELAYED", date_col: str = "FlightDate",
-                     months=(24, 1, 1), keys=(*cleaning.FLIGHT_KEY,), cap: int | None = prep.TUNING_ROWS, **params):
+                     months=(24, 1, 1), keys=(*cleaning.FLIGHT_KEY,), cap: int | None = prep.TUNING_ROWS,
+                     settings: list[dict] | None = None, **params):
     """Split, downsample, weight, fit on train, and evaluate on validation and test.
 
-    Returns the model, the split table and (split, metric, value) rows.
+    ``cap`` is the documented bound of the rows that the boosters see; medians, modes, encodings and class weights come
+    from all of train. With ``settings`` the best of them is searched and refitted, else ``params`` are fitted.
+    Returns the model, the split table and (split, metric, value) rows; with a search also its trials.
     """
     keys = list(keys)
-    usable, _ = cleaning.coerce_dates(gold, date_col, label)
-    sampled = prep.downsample_majority(stage(usable, "usable"), keys, label)
-    numeric, text = prep.feature_columns(sampled, exclude=(label, date_col, "leg", "TAIL_NUM", "year_month"))
-    split = stage(models.as_doubles(prep.time_split(sampled, date_col, *months), numeric), "split")
-    train = split.where("split = 'train'")
-    if cap is not None:
-        train = prep.row_cap(train, keys, cap)
-    filled = lambda df: models.fill_categories(df, train, text)
-    train = stage(prep.class_weights(filled(train), label), "train")
-    model = models.fit_multiclass(train, label, numeric, text, **params)
+    split, numeric, text = training_rows(gold, label, date_col, months, keys)
+    train = stage(prep.class_weights(split.where("split = 'train'"), label), "train")
+    sample = None if cap is None else stage(prep.row_cap(train, keys, cap), "sample")
+    trials = None
+    if settings:
+        model, trials = models.tune_multiclass(train, label, numeric, text, keys, settings, sample)
+    else:
+        model = models.fit_multiclass(train, label, numeric, text, sample, **params)
     reports = []
     for name in ("val", "test"):
-        scored = stage(models.score_multiclass(model, filled(split.where(F.col("split") == name)), keys, label), name)
+        scored = stage(models.score_multiclass(model, split.where(F.col("split") == name), keys, label), name)
         reports.append(models.evaluate_multiclass(scored, label).select(F.lit(name).alias("split"), "metric", "value"))
-    return model, split, reports[0].unionByName(reports[1])
+    report = reports[0].unionByName(reports[1])
+    return (model, split, report, trials) if settings else (model, split, report)
 
 
 def credit_training(feature_table: DataFrame, labels: DataFrame, train_date, train_test_months: int, oot_months: int,
-                    numeric: list[str], categorical: list[str], key: str, ratio: float = 0.8, trials: int = 3):
+                    numeric: list[str], categorical: list[str], key: str, ratio: float = 0.8, trials: int = models.LOGREG_TRIALS,
+                    iterations: int = models.LOGREG_ITERATIONS):
     """Labelled customer features, split around a training date; tuned regression; metrics per split.
 
-    Returns the model and (split, metric, value) rows for train, test and out-of-time.
+    Returns the model, the trials of its search and (split, metric, value) rows for train, test and out-of-time.
     """
     rows = joins.features_with_labels(feature_table, labels).where("label is not null")
     typed = rows.withColumns({c: F.col(c).try_cast("double") for c in (*numeric, "label")})
     split = stage(prep.oot_split(typed, "label_snapshot_date", train_date, train_test_months, oot_months), "windows")
     parts = prep.stratified_split(split.where("split = 'train_test'").drop("split"), [key], "label", ratio)
     every = stage(parts.unionByName(split.where("split = 'oot'")), "splits")
-    train = every.where("split = 'train'")
-    filled = stage(models.fill_categories(every, train, categorical), "filled")
-    weighted = stage(prep.class_weights(filled.where("split = 'train'"), "label"), "train")
-    model, search = models.tune_logreg(weighted, "label", numeric, categorical, [key], trials)
-    scored = stage(models.with_default_probability(model.transform(filled)).select("split", "label", "default_proba"), "scored")
+    weighted = stage(prep.class_weights(every.where("split = 'train'"), "label"), "train")
+    model, search = models.tune_logreg(weighted, "label", numeric, categorical, [key], trials, iterations)
+    scored = stage(models.with_default_probability(model.transform(every)).select("split", "label", "default_proba"), "scored")
     report = None
     for name in ("train", "test", "oot"):
         part = models.evaluate_binary(scored.where(F.col("split") == name), "label")
@@ -97,10 +110,11 @@ def credit_training(feature_table: DataFrame, labels: DataFrame, train_date, tra
     return model, search, report
 
 
-def credit_scores(model, feature_table: DataFrame, day, numeric, threshold: float = 0.5) -> DataFrame:
+def credit_scores(model, feature_table: DataFrame, day, threshold: float = 0.5) -> DataFrame:
     """Default probability and flag of the customers of one label day."""
     rows = readers.snapshot_slice(feature_table, day, "label_snapshot_date")
-    typed = rows.withColumns({c: F.col(c).try_cast("double") for c in numeric})
+    numeric, _ = models.trained_columns(model)
+    typed = models.check_columns(model, rows.withColumns({c: F.col(c).try_cast("double") for c in numeric if c in rows.columns}))
     scored = models.with_default_probability(model.transform(typed))
     flagged = models.score_threshold(scored, "default_proba", threshold)
     return flagged.select("Customer_ID", "label_snapshot_date", "default_proba", "default",
@@ -136,25 +150,46 @@ def monthly_monitor(run_table: DataFrame, scores: DataFrame, labels: DataFrame,
 
 
 # --- stored runs --------------------------------------------------------------
+# Every run of a layer can check what it stored: ``check`` is a validator of operators/validate.py, called on the table
+# (or the day's slice of it) with strict=True, so that a failed check stops the run.
+
+def _checked(spark: SparkSession, out: str, check, day=None) -> None:
+    if check is not None:
+        stored = spark.read.parquet(out)
+        check(readers.snapshot_slice(stored, day) if day else stored, strict=True)
+
+
+def _store(df: DataFrame, out: str, by: str, order: list[str], append: bool) -> None:
+    """Replace the partitions at hand, or append the rows they lack."""
+    if append:
+        sinks.append_new_rows(df, out, by, ignore=("processing_timestamp",))
+    else:
+        sinks.write_partitioned(df, out, by, order)
+
 
 def run_bronze_flights(spark: SparkSession, folder: str, out: str, start=None, end=None, day=None,
-                       schema=schemas.RAW_FLIGHT_TYPES) -> None:
+                       schema=schemas.RAW_FLIGHT_TYPES, append: bool = False, check=None) -> None:
     """Monthly files to the bronze table, by month, or one day to its daily slice."""
     raw = readers.read_day(spark, folder, day, schema) if day else readers.read_months(spark, folder, start, end, schema)
-    sinks.write_partitioned(bronze_flights(raw, day), out, "snapshot_date" if day else "year_month",
-                            ["FlightDate", *BRONZE_ORDER])
+    _store(bronze_flights(raw, day), out, "snapshot_date" if day else "year_month", ["FlightDate", *BRONZE_ORDER], append)
+    _checked(spark, out, check, day)
 
 
-def run_silver_flights(spark: SparkSession, bronze: str, out: str, by: str = "year_month", day=None) -> None:
-    """Bronze to silver. ``day`` reads and replaces that day's partition only."""
+def run_silver_flights(spark: SparkSession, bronze: str, out: str, by: str = "year_month", day=None, months=None,
+                       append: bool = False, check=validate.validate_silver) -> None:
+    """Bronze to silver. ``day`` or ``months`` ('YYYY-MM' keys) read and replace those partitions only."""
     df = spark.read.parquet(bronze)
     df = readers.snapshot_slice(df, day) if day else df
-    sinks.write_partitioned(silver_flights(df), out, by, SILVER_ORDER)
+    df = df.where(F.col("year_month").isin(*months)) if months else df
+    _store(silver_flights(df), out, by, SILVER_ORDER, append)
+    _checked(spark, out, check, day)
 
 
-def run_gold_flights(spark: SparkSession, silver: str, out: str, day=None, history: str | None = None) -> None:
+def run_gold_flights(spark: SparkSession, silver: str, out: str, day=None, history: str | None = None,
+                     check=validate.validate_gold) -> None:
     past = spark.read.parquet(history) if history else None
     sinks.write_partitioned(gold_flights(spark.read.parquet(silver), day, past), out, "snapshot_date", BRONZE_ORDER[1:])
+    _checked(spark, out, check, day)
 
 
 def run_bronze_weather(spark: SparkSession, folder: str, out: str, end=WEATHER_END, cutoff=CUTOFF) -> None:
@@ -167,9 +202,51 @@ def run_silver_weather(spark: SparkSession, bronze: str, out: str, cutoff=CUTOFF
     sinks.write_cutoff_split(silver, out, "date", cutoff, ["T+1_forecast", "time"])
 
 
-def run_gold_combined(spark: SparkSession, gold: str, silver_weather: str, out: str, day=None) -> None:
+def run_gold_combined(spark: SparkSession, gold: str, silver_weather: str, out: str, day=None, check=None) -> None:
     df = gold_combined(spark.read.parquet(gold), spark.read.parquet(silver_weather), day)
     sinks.write_partitioned(df, out, "snapshot_date", BRONZE_ORDER[1:])
+    _checked(spark, out, check, day)
+
+
+def run_training(spark: SparkSession, combined: str, out: str, train_date=None, daily: str | None = None, months=(24, 1, 1),
+                 keys=(*cleaning.FLIGHT_KEY,), trials: int = models.TREE_TRIALS, ranges=None, cap: int | None = prep.TUNING_ROWS) -> None:
+    """Stitch history and daily slices, split, search, refit, evaluate; store model, metrics, trials and split summary.
+
+    ``train_date`` limits the rows to the window of ``months`` before it. The search draws ``trials`` settings.
+    """
+    gold = spark.read.parquet(combined)
+    if daily or train_date:
+        later = spark.read.parquet(daily) if daily else gold.where("false")
+        gold = readers.stitch(gold, later, train_date or F.current_date(), months[0])
+    settings = models.random_settings(trials, ranges)
+    model, split, report, found = training_metrics(gold, months=months, keys=keys, cap=cap, settings=settings)
+    model.write().overwrite().save(f"{out}/model")
+    sinks.write_table(report, f"{out}/metrics")
+    sinks.write_table(found, f"{out}/trials")
+    sinks.write_table(prep.split_summary(split, "FlightDate", "IS_DELAYED"), f"{out}/splits")
+
+
+def run_credit_training(spark: SparkSession, feature_table: str, labels: str, out: str, train_date, train_test_months: int,
+                        oot_months: int, numeric: list[str], categorical: list[str], key: str, **options) -> None:
+    """Tuned regression around a training date; stores model, trials and metrics."""
+    model, search, report = credit_training(spark.read.parquet(feature_table), spark.read.parquet(labels), train_date,
+                                            train_test_months, oot_months, numeric, categorical, key, **options)
+    model.write().overwrite().save(f"{out}/model")
+    sinks.write_table(search, f"{out}/trials")
+    sinks.write_table(report, f"{out}/metrics")
+
+
+def run_credit_score(spark: SparkSession, model: str, feature_table: str, out: str, day, threshold: float = 0.5) -> None:
+    """Score the customers of one label day with a stored model and replace that day's scores."""
+    scores = credit_scores(PipelineModel.load(model), spark.read.parquet(feature_table), day, threshold)
+    sinks.write_partitioned(scores, out, "snapshot_date", ["Customer_ID"])
+
+
+def run_monthly_monitor(spark: SparkSession, run_table: str, scores: str, labels: str, out: str, month, load_order: str,
+                        threshold: float = 0.5) -> None:
+    """Metrics of the month's newest scoring run; other months stay."""
+    report = monthly_monitor(spark.read.parquet(run_table), spark.read.parquet(scores), spark.read.parquet(labels), month, load_order, threshold)
+    sinks.write_metrics(report.withColumn("period", F.trunc(F.lit(month).cast("date"), "MM")), out)
 
 
 def run_ingest_reference(spark: SparkSession, path: str, out: str, schema, table: str | None = None,
@@ -195,14 +272,21 @@ def run_loans(spark: SparkSession, path: str, out: str) -> None:
     sinks.write_partitioned(silver, out, "snapshot_date", ["loan_id"])
 
 
-def run_daily_score(spark: SparkSession, model, combined: str, out: str, day, csv_path: str | None = None) -> None:
-    """Score one day and replace its predictions."""
-    df = readers.snapshot_slice(spark.read.parquet(combined), day)
-    numeric, text = prep.feature_columns(df)
-    predictions = models.score_multiclass(model, models.as_doubles(df, numeric), ["snapshot_date", "flight_id"], "IS_DELAYED")
+def run_daily_score(spark: SparkSession, model: PipelineModel | str, combined: str, out: str, day, csv_path: str | None = None) -> None:
+    """Score one day with a model or the path of a stored one, and replace that day's predictions.
+
+    The trained columns must all be there; the keys and the label are carried through.
+    """
+    model = PipelineModel.load(model) if isinstance(model, str) else model
+    df = models.check_columns(model, readers.snapshot_slice(spark.read.parquet(combined), day))
+    predictions = models.score_multiclass(model, df, ["snapshot_date", "flight_id"], "IS_DELAYED")
     sinks.write_predictions(predictions, out, csv_path)
 
 
-def run_daily_monitor(spark: SparkSession, predictions: str, out: str, day) -> None:
-    report = monitor_report(spark.read.parquet(predictions), day)
+def run_daily_monitor(spark: SparkSession, predictions: str, out: str, day, label: str = "IS_DELAYED") -> None:
+    """Metrics of one day with the cells of its confusion matrix (``cm_<actual>_<predicted>``); other days stay."""
+    stored = spark.read.parquet(predictions)
+    cells = mx.confusion_matrix(readers.snapshot_slice(stored, day), label, "pred_class").select(
+        F.concat(F.lit("cm_"), "actual", F.lit("_"), "predicted").alias("metric"), F.col("n").cast("double").alias("value"))
+    report = monitor_report(stored, day, label).select("metric", "value").unionByName(cells)
     sinks.write_metrics(report.withColumn("period", F.lit(day).cast("date")), out)

@@ -34,6 +34,33 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | dict[str, str], r
     return files.schema(schema).option("enforceSchema", False).csv(path)
 
 
+def read_csv_files(spark: SparkSession, paths: list[str], schema: T.StructType | dict[str, str]) -> DataFrame:
+    """CSV files whose headers may list columns in any order: columns are matched by name, case ignored.
+
+    Files that share a header are read together. With a full schema the result has its columns, absent ones being null;
+    with a map the columns of all files. ``paths`` are single files; one line of each is read to see its header.
+    """
+    full = schema if isinstance(schema, T.StructType) else None
+    kinds = {f.name.upper(): f.dataType for f in full} if full else {n.upper(): T.DataType.fromDDL(k) for n, k in schema.items()}
+    names = {f.name.upper(): f.name for f in full or ()}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(path).columns), []).append(path)
+    frames = []
+    for header, same in by_header.items():
+        fields = [T.StructField(c, kinds.get(c.strip().upper(), T.StringType())) for c in header]
+        df = read_csv(spark, same, T.StructType(fields)).withColumn("_source_file", F.col("_metadata.file_name"))
+        df = df.withColumnsRenamed({c: names.get(c.strip().upper(), c) for c in header})
+        if full:
+            df = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in full],
+                           "_source_file")
+        elif frames:  # the spelling of the first file
+            spelling = {c.strip().upper(): c for c in frames[0].columns}
+            df = df.withColumnsRenamed({c: spelling.get(c.strip().upper(), c) for c in df.columns})
+        frames.append(df)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def month_file(year: int, month: int) -> str:
     return MONTH_FILE.format(month=month, year2=year % 100)
 
@@ -78,12 +105,12 @@ def missing_from(calendar: DataFrame, df: DataFrame, calendar_col: str, column)
 
 def read_months(spark: SparkSession, folder: str, start, end, schema) -> DataFrame:
     """The monthly files of a range that exist, with their file name; an error when there are none."""
-    names = {row.file_name for row in month_range(spark, start, end).collect()}  # one row per month
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    paths = [r.path for r in listing.select("path").collect() if r.path.rsplit("/", 1)[-1] in names]
+    names = [row.file_name for row in month_range(spark, start, end).collect()]  # one row per month
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "{" + ",".join(names) + "}").load(folder)
+    paths = sorted(r.path for r in listing.select("path").collect())
     if not paths:
         raise FileNotFoundError(f"no monthly file between {start} and {end} in {folder}")
-    return read_csv(spark, paths, schema).withColumn("source_file", F.col("_metadata.file_name"))
+    return read_csv_files(spark, paths, schema).withColumnRenamed("_source_file", "source_file")
 
 
 def read_day(spark: SparkSession, folder: str, day: date, schema) -> DataFrame:
@@ -112,29 +139,29 @@ def date_range_scan(df: DataFrame, start, end, column: str = "snapshot_date", co
 def load_any(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
     """Load Parquet and CSV input together, matching columns by name.
 
-    A path ending in a CSV suffix is text and one ending in a Parquet suffix is Parquet;
-    any other path is a folder whose files of both kinds are read, at any depth.
-    CSV needs a schema; a folder is read for CSV only when one is given.
+    A path with a Parquet suffix is a Parquet table. Any other path is a file or a folder whose files of both kinds are
+    read at any depth, by their suffixes, whatever the case; files without a known suffix take the kind that the path's
+    own suffix names. CSV needs a schema: without one a CSV file is an error, never left out.
     """
-    lower = {p: p.lower() for p in paths}
-    text = [p for p in paths if lower[p].endswith(CSV_SUFFIXES)]
-    parquet = [p for p in paths if lower[p].endswith(PARQUET_SUFFIXES)]
-    mixed = [p for p in paths if p not in text and p not in parquet]
+    if not paths:
+        raise FileNotFoundError("no input given")
+    tables, text = [p for p in paths if p.lower().endswith(PARQUET_SUFFIXES)], []
+    frames = [spark.read.parquet(*tables)] if tables else []
+    loose: list[str] = []
+    for path in (p for p in paths if p not in tables):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+        found = [r.path for r in files.collect()]  # the listing, one row per file
+        as_text = path.lower().rstrip("/").endswith(CSV_SUFFIXES)
+        text += [f for f in found if f.lower().endswith(CSV_SUFFIXES) or as_text and not f.lower().endswith(PARQUET_SUFFIXES)]
+        loose += [f for f in found if f.lower().endswith(PARQUET_SUFFIXES)]
     if text and schema is None:
         raise ValueError("CSV input needs a schema")
-    frames = []
-    if parquet:
-        frames.append(spark.read.parquet(*parquet))
+    if loose:
+        frames.append((spark.read.schema(schema) if schema else spark.read).parquet(*sorted(loose)))
     if text:
-        frames.append(read_csv(spark, text, schema))
-    for folder in mixed:
-        files = spark.read.option("recursiveFileLookup", True)
-        tables = files.schema(schema) if schema else files
-        frames.append(tables.option("pathGlobFilter", "*.parquet").parquet(folder))
-        if schema:
-            frames.append(files.schema(schema).option("header", True).option("pathGlobFilter", "*.{csv,csv.gz}").csv(folder))
+        frames.append(read_csv_files(spark, sorted(text), schema).drop("_source_file"))
     if not frames:
-        raise FileNotFoundError("no input given")
+        raise FileNotFoundError(f"no Parquet or CSV file in {', '.join(paths)}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from delayworks.sources.staging import stage
+
 
 def write_partitioned(df: DataFrame, path: str, by: str, order: list[str] | None = None, mode: str = "overwrite") -> None:
     """Table laid out by a column, replacing only the partitions that the frame holds.
@@ -24,10 +27,21 @@ def write_partitioned(df: DataFrame, path: str, by: str, order: list[str] | None
     )
 
 
-def append_new_days(df: DataFrame, path: str, by: str = "snapshot_date") -> None:
-    """Append only the days the table does not hold yet, so that a rerun adds nothing twice."""
-    held = df.sparkSession.read.parquet(path).select(F.col(by).cast(df.schema[by].dataType)).distinct()
-    write_partitioned(df.join(held, by, "left_anti"), path, by, mode="append")
+def append_new_rows(df: DataFrame, path: str, by: str = "snapshot_date", ignore: tuple[str, ...] = ()) -> None:
+    """Append the rows that the table does not hold yet, late rows of a stored partition included.
+
+    Rows are compared in all columns but the ignored ones, nulls and copies counted: a row that the table holds once and
+    the frame twice is appended once. A rerun adds nothing. Only the partitions that the frame has rows for are read.
+    """
+    key = [c for c in df.columns if c not in ignore]
+    stored = df.sparkSession.read.parquet(path)
+    held = stored.select(*[F.col(f"`{c}`").cast(df.schema[c].dataType).alias(c) for c in key])
+    held = held.join(df.select(by).distinct(), by, "left_semi").groupBy(*key).agg(F.count("*").alias("_held"))
+    held = held.withColumnsRenamed({c: f"_held_{c}" for c in key})
+    numbered = df.withColumn("_copy", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`_held_{c}`")) for c in key]
+    new = numbered.join(held, same, "left").where(F.col("_copy") > F.coalesce("_held", F.lit(0))).select(*df.columns)
+    write_partitioned(stage(new, "append"), path, by, mode="append")
 
 
 def with_slice(df: DataFrame, date_col: str, cutoff) -> DataFrame:
@@ -61,12 +75,14 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def write_predictions(df: DataFrame, path: str, csv_path: str | None = None) -> None:
-    """Predictions by snapshot day, and a CSV copy on request."""
+    """Predictions by snapshot day, and a CSV copy on request; they are computed once for both."""
+    if csv_path:
+        df = stage(df, "predictions")
     write_partitioned(df, path, "snapshot_date")
     if csv_path:
         write_csv(df, csv_path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    """Long-format metrics (metric, value, ...) as JSON lines."""
-    metrics.write.mode("overwrite").json(path)
+    """Long-format metrics (metric, value, period, ...) as JSON lines by period; other periods stay."""
+    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").json(path)

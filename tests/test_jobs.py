@@ -158,13 +158,94 @@ def test_train_score_and_monitor(spark, lake):
     assert {"perf_accuracy", "perf_qwk", "ks_max_proba"} <= metrics
 
 
-def test_append_adds_only_new_days(spark, tmp_path):
-    df = spark.range(30).select(F.expr("date_add(date '2025-01-01', cast(id % 3 as int))").alias("snapshot_date"), "id")
+def test_append_adds_late_rows_and_copies_once(spark, tmp_path):
+    day = F.expr("date_add(date '2025-01-01', cast(id % 3 as int))")
+    df = spark.range(30).select(day.alias("snapshot_date"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("id"))
+    df = df.unionAll(df.where("id = 7")).withColumn("at", F.current_timestamp())
     path = str(tmp_path / "t")
-    sinks.write_partitioned(df.where("id % 3 < 2"), path, "snapshot_date")
-    sinks.append_new_days(df, path)
-    sinks.append_new_days(df, path)
-    assert spark.read.parquet(path).count() == 30
+    sinks.write_partitioned(df.where("id % 3 < 2 and id < 20"), path, "snapshot_date")
+    for _ in range(2):
+        sinks.append_new_rows(df.withColumn("at", F.current_timestamp()), path, ignore=("at",))
+    key = lambda x: sorted(map(repr, x.select("snapshot_date", "id").collect()))
+    assert key(spark.read.parquet(path)) == key(df) and spark.read.parquet(path).count() == 31
+
+
+def test_metrics_of_other_periods_stay(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for day, value in (("2025-01-01", 1.0), ("2025-01-02", 2.0), ("2025-01-02", 3.0)):
+        sinks.write_metrics(spark.createDataFrame([("a", value, day)], "metric string, value double, period string"), path)
+    assert {(str(r.period), r.value) for r in spark.read.json(path).collect()} == {("2025-01-01", 1.0), ("2025-01-02", 3.0)}
+
+
+def test_mixed_folders_lose_nothing(spark, tmp_path):
+    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(str(tmp_path / "in/p.parquet"))
+    for part in (tmp_path / "in/p.parquet").glob("part-*"):
+        part.rename(tmp_path / "in" / "one.PQ")
+    (tmp_path / "in/t.csv").write_text("b,a\ny,2\n")
+    (tmp_path / "in/u.CSV").write_text("A,B\n3,z\n")
+    import pyspark.sql.types as T
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    rows = readers.load_any(spark, str(tmp_path / "in"), schema=schema).collect()
+    assert sorted(map(tuple, rows)) == [(1, "x"), (2, "y"), (3, "z")]
+    with pytest.raises(ValueError, match="schema"):
+        readers.load_any(spark, str(tmp_path / "in"))
+
+
+def test_monthly_files_in_two_orders_and_spellings(spark, tmp_path):
+    (tmp_path / readers.month_file(2024, 1)).write_text("X,Y\n1,a\n")
+    (tmp_path / readers.month_file(2024, 2)).write_text("y,x,Z\nb,2,q\n")
+    rows = readers.read_months(spark, str(tmp_path), (2024, 1), (2024, 3), {"x": "int"}).orderBy("X").collect()
+    assert [(r.X, r.Y, r.Z, r.source_file) for r in rows] == [
+        (1, "a", None, readers.month_file(2024, 1)), (2, "b", "q", readers.month_file(2024, 2))]
+
+
+def test_stored_training_scores_as_in_memory_and_fills_nulls(spark, lake, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    from delayworks.operators import models
+
+    out = str(tmp_path / "run")
+    jobs.run_training(spark, lake["combined"], out, train_date="2025-02-01", months=(4, 1, 1), trials=2,
+                      ranges={"maxIter": (2, 3), "maxDepth": (2, 3)})
+    assert {r.split for r in spark.read.parquet(f"{out}/metrics").collect()} == {"val", "test"}
+    assert spark.read.parquet(f"{out}/trials").where("best").select("trial").distinct().count() == 1
+    assert {r.split for r in spark.read.parquet(f"{out}/splits").collect()} == {"train", "val", "test"}
+    model = PipelineModel.load(f"{out}/model")
+    day = spark.read.parquet(lake["combined"]).where("snapshot_date = date '2025-01-10'")
+    numeric, text = models.trained_columns(model)
+    assert "OP_UNIQUE_CARRIER" in text and "DISTANCE" in numeric
+    modes = {r["column"]: r["mode"] for r in models.fit_modes(spark.read.parquet(lake["combined"]).where("snapshot_date < date '2024-12-01'"), ["OP_UNIQUE_CARRIER"]).collect()}
+    gone = models.check_columns(model, day.withColumn("OP_UNIQUE_CARRIER", F.lit(None).cast("string")))
+    known = [r[0] for r in model.transform(gone).select("OP_UNIQUE_CARRIER_known").distinct().collect()]
+    assert len(known) == 1 and known[0] in ("AA", "DL") and set(modes.values()) <= {"AA", "DL"}
+    for _ in range(2):
+        jobs.run_daily_score(spark, f"{out}/model", lake["combined"], str(tmp_path / "preds"), "2025-01-10", str(tmp_path / "copy.csv"))
+    stored = spark.read.parquet(str(tmp_path / "preds"))
+    direct = models.score_multiclass(model, models.check_columns(model, day), ["flight_id"])
+    key = lambda df: sorted((r.flight_id, round(r.proba_0, 9)) for r in df.collect())
+    assert key(stored) == key(direct) and stored.count() == day.count()
+    with pytest.raises(ValueError, match="DISTANCE"):
+        models.check_columns(model, day.drop("DISTANCE"))
+    for d in ("2025-01-10", "2025-01-10"):
+        jobs.run_daily_monitor(spark, str(tmp_path / "preds"), str(tmp_path / "metrics"), d)
+    cells = {r.metric: r.value for r in spark.read.json(str(tmp_path / "metrics")).collect() if r.metric.startswith("cm_")}
+    assert len(cells) == 9 and sum(cells.values()) == day.count()
+
+
+def test_daily_combined_reads_one_weather_slice(spark, lake):
+    df = jobs.gold_combined(spark.read.parquet(lake["gold"]), spark.read.parquet(lake["ws"]), "2025-01-15")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "slice" in plan and plan.count("PartitionFilters: [") == 2 and "PartitionFilters: []" not in plan
+
+
+def test_months_can_be_appended(spark, lake, tmp_path):
+    out = str(tmp_path / "bronze")
+    jobs.run_bronze_flights(spark, lake["flights"], out, (2024, 10), (2024, 10))
+    for _ in range(2):
+        jobs.run_bronze_flights(spark, lake["flights"], out, (2024, 10), (2024, 12), append=True)
+    bronze = spark.read.parquet(out)
+    assert bronze.count() == spark.read.parquet(lake["bronze"]).where("year_month < '2025-01'").count()
 
 
 def test_airports_and_reference_ingest(spark, small, tmp_path):

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
@@ -15,10 +17,11 @@ def con(small):
 
 
 def test_only_model_queries_lack_sql():
-    assert set(queries()) - set(ORACLES) == MODELS
+    own = {n for n in queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own - set(ORACLES) == MODELS
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n != "pipeline" and not re.match(r"op\d+_", n)))
 def test_query_matches_sql(name, spark, small, con):
     assert compare(queries()[name](spark, small), con, ORACLES[name]) is None
 

@@ -12,6 +12,7 @@ from delayworks.operators import cleaning, drift, joins, prep
 from delayworks.operators import metrics as mx
 from delayworks.operators.ranking import hash_select, long_values, quantiles, running_totals
 from delayworks.sources import readers, sinks
+from delayworks.sources.staging import scratch_path
 
 
 def plan(df):
@@ -62,23 +63,79 @@ def test_downsampling_keeps_every_minority_row(spark):
     assert counts == {0: 100, 1: 500, 2: 500, 3: 500}
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
-def test_salted_join_equals_the_broadcast_join(spark, how):
-    rows = spark.createDataFrame(skewed() + [(None, -1, 0.0)] * 3, "k int, i int, x double")
-    lookup = spark.createDataFrame([(k, f"v{k}") for k in range(0, 150)] + [(3, "twice")], "k int, v string")
-    wide = joins.lookup_join(rows, lookup, ["k"], how)
-    narrow = joins.lookup_join(rows, lookup, ["k"], how, max_cells=10, salts=7)
-    assert "BroadcastHashJoin" in plan(wide) and "SortMergeJoin" in plan(narrow)
-    key = lambda df: sorted(map(repr, df.collect()))
-    assert key(wide) == key(narrow)
-
-
-def test_salt_spreads_copies_of_one_row(spark):
-    copies = spark.range(0, 4000, 1, 16).select(F.lit(1).alias("k"))
-    joined = joins.salted_join(copies, spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], salts=16)
-    assert joined.count() == 4000
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), F.col("k")), F.lit(16))
-    assert copies.select(salt.alias("s")).distinct().count() > 6
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_hot_key_is_split_at_run_time(spark, how):
+    tight = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rows = [(0 if i % 3 else i, i) for i in range(60_000)] + [(None, -1)] * 3
+    lookup = [(k, f"v{k}") for k in range(0, 60_000, 3)] + [(None, "none")]
+    before = {k: spark.conf.get(k) for k in tight}
+    left = spark.createDataFrame(rows, "k int, i int").repartition(6)
+    right = spark.createDataFrame(lookup, "k int, v string").repartition(3)
+    try:
+        for k, v in tight.items():
+            spark.conf.set(k, v)
+        for null_safe in (False, True):
+            joined = joins.lookup_join(left, right, ["k"], how, null_safe=null_safe).select("k", "i", "v")
+            got = [tuple(r) for r in joined.collect()]
+            want = [(k, i, "none" if null_safe else None) if k is None else (k, i, f"v{k}") for k, i in rows
+                    if k is not None or null_safe or how == "left"]
+            assert sorted(got, key=str) == sorted(want, key=str)
+            assert "skew=true" in plan(joined)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_lookups_plan_without_writing(spark, small, monkeypatch):
+    from delayworks.sources import staging
+
+    monkeypatch.setattr(staging, "scratch_path", lambda *a: pytest.fail("a table was staged"))
+    for name in ("features_labels_inner", "preds_labels_inner"):
+        assert "Join" in plan(queries()[name](spark, small))
+
+
+@pytest.mark.parametrize("edge_rows", [1_000_000, 3])
+def test_samples_keep_their_number_with_shared_keys_and_null_strata(spark, monkeypatch, edge_rows):
+    from delayworks.operators import ranking
+
+    monkeypatch.setattr(ranking, "EDGE_ROWS", edge_rows)
+    rows = [(i % 7, i % 3 or None, i % 5) for i in range(600)] + [(1, 1, 1)] * 300 + [(None, None, None)] * 11
+    df = spark.createDataFrame(rows, "id int, y int, x int").repartition(5)
+    for limit in (1, 3, 10, 250, 911, 5000):
+        marked = hash_select(df, ["id"], limit=limit)
+        assert marked.where("selected").count() == min(limit, 911) and marked.count() == 911
+    marked = hash_select(df, ["id"], ["y"], fraction=0.2)
+    counts = {r.y: (r.n, r.s) for r in marked.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.col("selected").cast("int")).alias("s")).collect()}
+    size = {y: sum(r[1] == y for r in rows) for y in (None, 1, 2)}
+    assert counts == {y: (n, math.floor(n * 0.2)) for y, n in size.items()}
+    assert sorted(map(str, (tuple(r)[:3] for r in marked.collect()))) == sorted(map(str, rows))
+    prefix = [sorted(map(str, (tuple(r)[:3] for r in hash_select(df, ["id"], limit=n).where("selected").collect()))) for n in (20, 300)]
+    assert not set(prefix[0]) - set(prefix[1])
+
+
+def test_profiles_leave_nulls_out_and_read_once(spark, small):
+    df = spark.createDataFrame([("2024-01-01", None)] * 5 + [("2024-01-01", "a"), ("2024-01-02", "b"), ("2024-01-02", "b")], "d string, c string")
+    from delayworks.operators import profile
+
+    assert [tuple(r) for r in profile.top_values(df, "c", 2).collect()] == [("b", 2), ("a", 1)]
+    wide = profile.day_category_pivot(df, "d", "c", 2).orderBy("day").collect()
+    assert [(r.n_a, r.n_b) for r in wide] == [(1, 0), (0, 2)]
+    assert profile.null_report(spark.range(1).select(*[F.lit(1).alias(f"c{i}") for i in range(30)])).count() == 30
+    path = scratch_path(spark, "scans")
+    spark.createDataFrame([("2024-01-01", "C", 1, "JFK", "BOS", 900, float(x), x % 2, 0, None, None) for x in range(20)], (
+        "FlightDate string, OP_UNIQUE_CARRIER string, OP_CARRIER_FL_NUM int, ORIGIN string, DEST string, CRS_DEP_TIME int, "
+        "ARR_DELAY_NEW double, CANCELLED int, DIVERTED int, ACTUAL_ELAPSED_TIME double, DISTANCE int")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    for report in (profile.class_distribution(stored, "CANCELLED"), cleaning.cleaning_report(stored)):
+        assert plan(report).count("FileScan") == 1 and report.count() > 0
+    assert cleaning.cleaning_report(stored).orderBy("step_no").first().rows_before == 20
+
+
+def test_one_hot_has_no_limit(spark):
+    df = spark.createDataFrame([(f"v{i}",) for i in range(1100)] + [(None,)], "c string")
+    assert len(prep.one_hot(df, df, "c").columns) == 1101
 
 
 def brute_auc(y, s):
