@@ -89,12 +89,9 @@ def likeness(a: Column | str, b: Column | str) -> Column:
             .otherwise(F.greatest(F.lit(0.0), (equal - chance) / (1 - chance))))
 
 
-def with_next(rows: DataFrame, ids: DataFrame, carry: list[str], id_col: str = "id") -> DataFrame:
-    """Adds ``next_<c>`` for the carried columns of the following row. ``ids`` is the id column of the same rows.
-
-    Rows are dealt into ordered buckets of about even size; the first row of the next bucket is added to each bucket as
-    a guard, so a row finds its successor in its own bucket.
-    """
+def with_guards(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows in ordered buckets of about even size (``bucket``), the first rows of the next bucket added to each
+    (``guard``), so that a row finds its successor in its own bucket. ``ids`` is the id column of the same rows."""
     seen = ids.agg(F.count("*").alias("n"), F.count(id_col).alias("known")).first()
     buckets = max(1, min(MOST_BUCKETS, math.ceil(seen.n / BUCKET_ROWS)))
     cuts = []
@@ -108,15 +105,19 @@ def with_next(rows: DataFrame, ids: DataFrame, carry: list[str], id_col: str = "
               .agg(F.min(id_col).alias("low"), F.max(F.col(id_col).isNull()).alias("has_null")).collect())
     order = sorted(((r.bucket, None if r.has_null else r.low) for r in starts))
     guards = [(b, order[(i + 1) % len(order)][1]) for i, (b, _) in enumerate(order)]
-    spark, kind = rows.sparkSession, ids.schema[id_col].dataType.simpleString()
-    ahead = spark.createDataFrame(guards, f"bucket int, first {kind}")
+    kind = ids.schema[id_col].dataType.simpleString()
+    ahead = rows.sparkSession.createDataFrame(guards, f"bucket int, first {kind}")
     own = rows.withColumn("bucket", number).withColumn("guard", F.lit(False))
     extra = rows.join(F.broadcast(ahead), rows[id_col].eqNullSafe(ahead["first"])).drop("first").withColumn("guard", F.lit(True))
+    return own.unionByName(extra)
+
+
+def with_next(guarded: DataFrame, carry: list[str], id_col: str = "id") -> DataFrame:
+    """Adds ``next_<c>`` for the carried columns of the following row, and drops the guards."""
     by_id = Window.partitionBy("bucket").orderBy("guard", F.asc_nulls_first(id_col), "tie")
-    both = own.unionByName(extra)
     for c in carry:
-        both = both.withColumn(f"next_{c}", F.lead(c).over(by_id))
-    return both.where(~F.col("guard")).drop("bucket", "guard")
+        guarded = guarded.withColumn(f"next_{c}", F.lead(c).over(by_id))
+    return guarded.where(~F.col("guard")).drop("bucket", "guard")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -134,8 +135,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's fingerprint, that of its edited text, and its likeness to both that and the next row's."""
-    rows = fingerprints(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
-    follow = with_next(rows, docs.select(F.col(id_col).alias("id")), ["text", "signature"])
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    guarded = with_guards(rows, docs.select(F.col(id_col).alias("id")))
+    follow = with_next(with_signature(guarded, "text", "signature"), ["text", "signature"])
     changed = follow.withColumn("changed", edited(F.col("text"), F.col("next_text"))).drop("next_text")
     changed = changed.select("id", F.length("text").alias("n_chars"), F.sha2("changed", 256).alias("edited_sha256"), "signature",
                              "next_signature", "changed")

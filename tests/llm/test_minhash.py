@@ -103,7 +103,7 @@ def test_successors_across_buckets(spark, monkeypatch):
     ids = random.Random(2).sample(range(10 ** 12), 50) + [5, 5, None, None]
     df = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "id long, text string").withColumn("tie", F.xxhash64("text"))
     order = [(r.id, r.text) for r in df.orderBy(F.asc_nulls_first("id"), "tie").collect()]
-    got = {(r.id, r.text): r.next_text for r in minhash.with_next(df.repartition(5), df.select("id"), ["text"]).collect()}
+    got = {(r.id, r.text): r.next_text for r in minhash.with_next(minhash.with_guards(df.repartition(5), df.select("id")), ["text"]).collect()}
     assert got == {row: order[(i + 1) % len(order)][1] for i, row in enumerate(order)}
 
 
