@@ -194,7 +194,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     shards = max(1, -(-total // shard_slots))
     drawn = (spark.range(shards if total else 0).mapInArrow(
         slots_of(sources, shards, shard_slots, seed), "source_no int, block long, pass int, shard long, slot long"))
-    taken = pieces.join(drawn, ["source_no", "block"])
+    # the planner sizes the slots by the few shards they are drawn from and would broadcast them
+    taken = pieces.join(drawn.hint("merge"), ["source_no", "block"])
     return Mix(laid.drop("offset"), taken, sources)
 
 
