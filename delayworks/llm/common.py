@@ -14,7 +14,7 @@ from delayworks.sources.staging import scratch_path, stage
 
 __all__ = ["free_name", "held_out", "pieces", "row_key", "runs", "scratch_path", "stage", "table", "texts_of"]
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -37,7 +37,7 @@ WIDTH = 16
 #: Pieces of a class that are ranked together.
 SALT_ROWS = 5_000
 #: Encoded words remembered per process.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 600_000
 
 # In Latin-1 text, which is composed already and lower-cases letter by letter, the vocabulary's words are these; white
 # space between them is dropped.
