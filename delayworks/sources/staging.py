@@ -20,9 +20,19 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+_FORGOTTEN: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; what is there goes when the application ends."""
+    folder = f"{staging_root(spark)}/{spark.sparkContext.applicationId}"
+    if folder not in _FORGOTTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _FORGOTTEN.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
