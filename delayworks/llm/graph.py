@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.common import stage
 
 
+def merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hook the larger root of each pair under the smaller one until every pair has one root."""
+    while True:
+        p, q = root[a], root[b]
+        differ = p != q
+        if not differ.any():
+            return root
+        np.minimum.at(root, np.maximum(p, q)[differ], np.minimum(p, q)[differ])
+        while (root != root[root]).any():
+            root = root[root]
+
+
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """``(node, component)`` for every node of an edge, the component being its smallest node.
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.common import free_name, pieces, row_key, stage
-from delayworks.llm.graph import components
+from delayworks.llm.graph import components, merge
 
 WORDS = 3
 SEED = 42
@@ -117,10 +117,9 @@ def replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Links among rows sorted by anchor: row i is held against row i + 1, i + 2, ... while the anchor lasts."""
+    """Spanning links of rows sorted by anchor: row i is held against row i + 1, i + 2, ... while the anchor lasts."""
     bits = fp.view(np.uint64)
     root = np.arange(len(fp))
-    left, right = [], []
     active, shift = np.arange(len(fp)), 1
     while True:
         active = active[active + shift < len(fp)]
@@ -129,21 +128,10 @@ def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int
             break
         other = active + shift
         near = (home[active] | home[other]) & (np.bitwise_count(bits[active] ^ bits[other]) <= threshold)
-        for i, j in zip(active[near].tolist(), other[near].tolist()):
-            a, b = _root(root, i), _root(root, j)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                left.append(i)
-                right.append(j)
+        root = merge(root, active[near], other[near])
         shift += 1
-    return fp[left], fp[right]
-
-
-def _root(root: np.ndarray, i: int) -> int:
-    while root[i] != i:
-        root[i] = root[root[i]]
-        i = root[i]
-    return i
+    linked = np.flatnonzero(root != np.arange(len(fp)))
+    return fp[linked], fp[root[linked]]
 
 
 def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

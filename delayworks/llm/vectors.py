@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.llm.common import runs, stage
-from delayworks.llm.graph import components
+from delayworks.llm.graph import components, merge
 
 THRESHOLD = 0.98
 MISS = 1e-4
@@ -101,18 +101,6 @@ def hasher(width: float, k: int, tables: int):
     return hashed
 
 
-def merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hook the larger root of each pair under the smaller one until every pair has one root."""
-    while True:
-        p, q = root[a], root[b]
-        differ = p != q
-        if not differ.any():
-            return root
-        np.minimum.at(root, np.maximum(p, q)[differ], np.minimum(p, q)[differ])
-        while (root != root[root]).any():
-            root = root[root]
-
-
 def block_links(x: np.ndarray, codes: np.ndarray, sizes: np.ndarray, slot: int, part: np.ndarray, crossed: bool,
                 threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Links first met in table ``slot``: how many vectors each row gains, and the root of its linked rows."""
