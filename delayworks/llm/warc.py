@@ -40,6 +40,8 @@ LEAST = 0
 LEVEL = 1
 #: Bytes of an archive that one row of the range table covers.
 RANGE_BYTES = 8 << 20
+#: Tasks that read archives; beyond so many ranges a task reads several, one after the other.
+MOST_TASKS = 20_000
 READ_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 DATE = "1970-01-01T00:00:00Z"
@@ -115,7 +117,8 @@ def ranges(spark: SparkSession, path: str, size: int = RANGE_BYTES) -> DataFrame
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     cut = files.where("length > 0").withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))))
     cut = cut.withColumn("end", F.least(F.col("start") + size, F.col("length")))
-    return cut.repartition(F.col("path"), F.col("start"))
+    # a number of its own: the table is tiny, and run-time merging by bytes would put all ranges into one task
+    return cut.repartition(max(1, min(MOST_TASKS, cut.count())))
 
 
 def opened(path: str):
