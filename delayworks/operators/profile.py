@@ -78,12 +78,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_summary(df: DataFrame, columns=None) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles per numeric column."""
-    long = long_values(df, list(columns or numeric_columns(df)))
-    basics = long.groupBy("column").agg(
-        F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantiles(long, [0.25, 0.5, 0.75], ["column"])
+    """Count, mean, deviation, extremes and quartiles per numeric column.
+
+    All but the quartiles come from one wide aggregate; the quartiles from counted values.
+    """
+    columns = list(columns or numeric_columns(df))
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    wide = df.agg(*[F.struct(
+        F.lit(c).alias("column"), F.count(v).alias("n"), F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_samp(v), 6).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max")).alias(f"_{i}") for i, (c, v) in enumerate(value.items())])
+    basics = wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))]))).where("n > 0")
+    q = quantiles(long_values(df, columns), [0.25, 0.5, 0.75], ["column"])
     at = lambda p: F.round(F.max(F.when(F.col("prob") == p, F.col("quantile"))), 6)
     quartiles = q.groupBy("column").agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
     return basics.join(quartiles, "column")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from delayworks.sources.staging import stage
 
 PREFIX = 4  # hexadecimal digits: 65,536 slices of the hash range
 HASH_DIGITS = 32
+SLICE_ROWS = 2_000_000  # rows of one slice of a running total
 EDGE_ROWS = 1_000_000  # rows of a slice that one task may rank
 
 
@@ -20,10 +23,12 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], measures:
 
     ``df`` has one row per (group, order) value. It is staged, so that finding the slice
     bounds does not compute it a second time. The rows are range-partitioned into slices
-    of even size; a window runs inside each slice only, and the slice totals, at most one
+    of even size, as many as the number of rows asks for; a window runs inside each slice only, and the slice totals, at most one
     row per slice and group, are accumulated and joined back.
     """
-    ranged = stage(df, "counts").repartitionByRange(*group, *order).withColumn("_slice", F.spark_partition_id())
+    counts = stage(df, "counts")
+    slices = max(1, math.ceil(counts.count() / SLICE_ROWS))
+    ranged = counts.repartitionByRange(slices, *group, *order).withColumn("_slice", F.spark_partition_id())
     ranged = stage(ranged, "running")
     totals = ranged.groupBy(*group, "_slice").agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
     per_group = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))

@@ -24,7 +24,11 @@ def skewed(n=3000, seed=1):
     return [(0 if rng.random() < 0.4 else rng.randint(1, 200), i, rng.random()) for i in range(n)]
 
 
-def test_running_totals(spark):
+@pytest.mark.parametrize("slice_rows", [2_000_000, 40])
+def test_running_totals(spark, monkeypatch, slice_rows):
+    from delayworks.operators import ranking
+
+    monkeypatch.setattr(ranking, "SLICE_ROWS", slice_rows)
     rows = sorted({(k % 3, v) for k, v, _ in skewed()})
     df = spark.createDataFrame([(g, v, v % 7) for g, v in rows], "g int, v int, m bigint")
     got = {(r.g, r.v): (r.before_m, r.total_m) for r in running_totals(df, ["g"], ["v"], ["m"]).collect()}
