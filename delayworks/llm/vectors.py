@@ -29,9 +29,11 @@ from delayworks.llm.common import runs, stage
 from delayworks.llm.graph import components, merge
 
 THRESHOLD = 0.98
-MISS = 1e-4
+MISS = 1e-6
 #: Width of a quantised step, in units of the distance at the threshold.
 STEP = 8.0
+#: Distance from which vectors count as unrelated: in a key of ``k`` projections about one of n such pairs per vector meets.
+UNRELATED = 1.2
 BLOCK = 2048
 SEED = 20240607
 
@@ -47,7 +49,7 @@ def settings(n: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[
     """Step width, projections per key and tables for ``n`` vectors: unrelated ones should rarely share a key."""
     near = math.sqrt(max(1e-6, 2 - 2 * threshold))
     width = STEP * near
-    k = max(2, math.ceil(math.log(max(n, 2)) / -math.log(_hit(1.0, width))))
+    k = max(2, math.ceil(math.log(max(n, 2)) / -math.log(_hit(UNRELATED, width))))
     tables = math.ceil(math.log(miss) / math.log1p(-_hit(near, width) ** k))
     return width, k, tables
 
