@@ -5,45 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The canonical names, which are also column names.
 CANONICAL = (
     "tower", "ground", "approach", "departure", "approach_departure", "atis",
     "awos", "ctaf_unicom", "clearance_delivery", "fss", "center", "other",
 )
-
-
-def _token(words: str) -> str:
-    return f"(^|[^a-z0-9])({words})([^a-z0-9]|$)"
-
-
-# Ordered (pattern, type) rules. The token table treats '_' and '/' as
-# word limits, so 'twr_' is a tower and 'radio' is not an approach/departure pair.
-TOKEN_RULES = (
-    (_token("twr|tower"), "tower"),
-    (_token("gnd|ground"), "ground"),
-    (_token("app|appr|aprch|approach"), "approach"),
-    (_token("dep|dept|departure"), "departure"),
-    (_token("a[_/]*d"), "approach_departure"),
-    (_token("d[_]*atis|atis"), "atis"),
-    (_token("awos|wx[_]*asos|wxas|asos"), "awos"),
+# Ordered words of each type.
+WORDS = (
+    ("twr|tower", "tower"),
+    ("gnd|ground", "ground"),
+    ("app|appr|aprch|approach", "approach"),
+    ("dep|dept|departure", "departure"),
+    ("a[_/]*d", "approach_departure"),
+    ("d[_]*atis|atis", "atis"),
+    ("awos|wx[_]*asos|wxas|asos", "awos"),
     ("ctaf|unicom", "ctaf_unicom"),
     ("cld|clr|clnc[_]*del|clearance", "clearance_delivery"),
-    (_token("fss|rfss|rco"), "fss"),
-    (_token("cntr|ctr|center"), "center"),
-)
-# The same rules with word boundaries that do not see '_' as a limit.
-LITERAL_RULES = (
-    (r"\b(twr|tower)\b", "tower"),
-    (r"\b(gnd|ground)\b", "ground"),
-    (r"\b(app|appr|aprch|approach)\b", "approach"),
-    (r"\b(dep|dept|departure)\b", "departure"),
-    (r"(a[_/]*d|app[_/]*dep|approach[_/]*departure)", "approach_departure"),
-    (r"\b(d[_]*atis|d-atis|d_atis|atis)\b", "atis"),
-    (r"\b(awos|wx[_]*asos|wxas|asos)\b", "awos"),
-    (r"(ctaf.*|.*ctaf|unicom)", "ctaf_unicom"),
-    (r"(cld|clr|clnc[_]*del|clrd|clrn|clearance)", "clearance_delivery"),
-    (r"\b(fss|rfss|rco)\b", "fss"),
-    (r"\b(cntr|ctr|center)\b", "center"),
+    ("fss|rfss|rco", "fss"),
+    ("cntr|ctr|center", "center"),
 )
+# Types whose words may stand anywhere in the text, and the literal patterns that are more than their words.
+ANYWHERE = ("ctaf_unicom", "clearance_delivery")
+LITERAL = {
+    "approach_departure": r"(a[_/]*d|app[_/]*dep|approach[_/]*departure)",
+    "atis": r"\b(d[_]*atis|d-atis|d_atis|atis)\b",
+    "ctaf_unicom": r"(ctaf.*|.*ctaf|unicom)",
+    "clearance_delivery": r"(cld|clr|clnc[_]*del|clrd|clrn|clearance)",
+}
+
+# '_' and '/' are word limits here, so 'twr_' is a tower and 'radio' is not an approach/departure pair.
+TOKEN_RULES = tuple((w if kind in ANYWHERE else f"(^|[^a-z0-9])({w})([^a-z0-9]|$)", kind) for w, kind in WORDS)
+# The same rules with word boundaries that do not see '_' as a limit.
+LITERAL_RULES = tuple((LITERAL.get(kind, rf"\b({w})\b"), kind) for w, kind in WORDS)
 
 
 def canonical_type(kind="freq_type", description="description", rules=TOKEN_RULES) -> Column:
