@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +135,7 @@ def comparer(threshold: float):
                 if end - begin < 2:
                     continue
                 group = table.slice(begin, end - begin)
-                dims = np.array([len(v) for v in group.column("vec")])
+                dims = pc.list_value_length(group.column("vec")).to_numpy()
                 for dim in np.unique(dims).tolist():
                     rows = group.filter(pa.array(dims == dim)) if dims.min() < dims.max() else group
                     cid = rows.column("cid").to_numpy()
