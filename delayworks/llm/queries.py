@@ -49,14 +49,43 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.place(digests).withColumnRenamed("id", "doc_id")
 
 
-@query("op4_vectors")
+OP4_SQL = """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+      WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+              AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+    component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN component c ON e.vec_id = c.a LEFT JOIN counts ON e.vec_id = counts.a"""
+
+
+@query("op4_vectors", OP4_SQL)
 def op4_vectors(spark: SparkSession, folder: str) -> DataFrame:
     found = vectors.near_duplicates(table(spark, folder, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
                         F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
 
 
-@query("op5_chat")
+OP5_SQL = """
+    WITH rows AS (
+      SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+      UNION ALL SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) x(n, r)),
+    shown AS (
+      SELECT *, regexp_replace(regexp_replace(replace(t, '␛', '␛␛'), '(<)(s>|/s>|<SYS>>|</SYS>>)', '\\1␛\\2', 'g'),
+                '(\\[)(/?INST\\]|/?ROLE\\]|END\\])', '\\1␛\\2', 'g') AS escaped FROM rows)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, t)) AS turns_sha256,
+           CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+           CAST(3 + sum(length(escaped) + CASE r WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 4 ELSE 18 + length(r) END) AS BIGINT)
+             AS formatted_chars
+    FROM shown GROUP BY conv_id"""
+
+
+@query("op5_chat", OP5_SQL)
 def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -64,7 +93,19 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.assemble(given.unionAll(probe))).withColumnRenamed("conv", "conv_id")
 
 
-@query("op6_warc")
+# base32 from the bits of the digest, five at a time
+OP6_SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    d AS (SELECT page_id, h, CAST(unhex(sha1(h)) AS BIT)::VARCHAR AS bits, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+    SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + list_sum(list_transform(range(5),
+             lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS BIGINT), 1) AS INT) * (1 << (4 - j)))) AS BIGINT), 1)), '') AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM d"""
+
+
+@query("op6_warc", OP6_SQL)
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(warc.plan(table(spark, folder, "pages")), path)
