@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.llm import chat, licenses, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
+from delayworks.llm import chat, licenses, merkle, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
 from delayworks.llm.common import held_out, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +137,54 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = table(spark, folder, "documents").select("doc_id", licenses.scan("text").alias("s"))
     return found.select("doc_id", "s.*")
+
+
+# the CRC-32 of the id's digits bit by bit, the trees level by level, then each leaf's way up
+OP11_SQL = """
+    WITH RECURSIVE d AS (
+      SELECT *, list_reduce(list_prepend(4294967295, list_transform(range(1, strlen(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+          lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc
+      FROM documents),
+    shown AS (
+      SELECT doc_id, source, text, xor(crc, 4294967295) % 5 = 0 AS tampered,
+             concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM d),
+    leaves AS (
+      SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(strlen(text) || ':' || CASE WHEN tampered THEN low ELSE text END, '-')) AS claim FROM shown),
+    nodes AS (
+      SELECT source, 0 AS level, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n, leaf AS digest
+      FROM leaves
+      UNION ALL
+      SELECT source, level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY source, level, idx // 16, n),
+    tops AS (
+      SELECT 0 AS level, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, count(*) OVER () AS n, digest, source FROM nodes WHERE n = 1
+      UNION ALL
+      SELECT level + 1, idx // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY idx)), NULL FROM tops WHERE n > 1 GROUP BY level, idx // 16, n),
+    way AS (
+      SELECT doc_id, source, 0 AS level, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS idx, leaf, claim AS now, '' AS proof FROM leaves
+      UNION ALL
+      SELECT w.doc_id, w.source, w.level + 1, w.idx // 16, w.leaf, sha256(string_agg(CASE WHEN s.idx = w.idx THEN w.now ELSE s.digest END, '' ORDER BY s.idx)),
+             w.proof || coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx <> w.idx), '')
+      FROM way w JOIN (SELECT * FROM nodes WHERE n > 1) s ON s.source IS NOT DISTINCT FROM w.source AND s.level = w.level AND s.idx // 16 = w.idx // 16
+      GROUP BY w.doc_id, w.source, w.level, w.idx, w.leaf, w.now, w.proof),
+    arrived AS (SELECT w.*, n.digest AS subroot FROM way w JOIN nodes n ON n.n = 1 AND n.source IS NOT DISTINCT FROM w.source AND n.level = w.level),
+    higher AS (
+      SELECT a.doc_id, a.leaf, a.subroot, 0 AS level, t.idx, a.now, a.proof
+      FROM arrived a JOIN tops t ON t.level = 0 AND t.source IS NOT DISTINCT FROM a.source
+      UNION ALL
+      SELECT w.doc_id, w.leaf, w.subroot, w.level + 1, w.idx // 16, sha256(string_agg(CASE WHEN s.idx = w.idx THEN w.now ELSE s.digest END, '' ORDER BY s.idx)),
+             w.proof || coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (s.idx <> w.idx), '')
+      FROM higher w JOIN (SELECT * FROM tops WHERE n > 1) s ON s.level = w.level AND s.idx // 16 = w.idx // 16
+      GROUP BY w.doc_id, w.leaf, w.subroot, w.level, w.idx, w.now, w.proof)
+    SELECT h.doc_id, h.leaf, h.subroot, t.digest AS root, sha256(h.proof) AS proof_sha256, h.now AS folded_root, h.now = t.digest AS verified
+    FROM higher h JOIN tops t ON t.n = 1 AND t.level = h.level"""
+
+
+@query("op11_merkle", OP11_SQL)
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = merkle.build(table(spark, folder, "documents"), claimed={"text": F.when(tampered, low).otherwise(F.col("text"))})
+    return merkle.audit(made).withColumnRenamed("id", "doc_id")

@@ -13,4 +13,4 @@ def test_query_matches_sql(name, spark, small):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
