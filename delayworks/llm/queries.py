@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delayworks.llm import chat, licenses, merkle, minhash, mixing, packing, quality, simhash, toxicity, vectors, warc
+from delayworks.llm import chat, fim, licenses, merkle, minhash, mixing, packing, quality, simhash, substrings, toxicity, vectors, warc
 from delayworks.llm.common import held_out, scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,40 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     made = merkle.build(table(spark, folder, "documents"), claimed={"text": F.when(tampered, low).otherwise(F.col("text"))})
     return merkle.audit(made).withColumnRenamed("id", "doc_id")
+
+
+OP12_SQL = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || doc_id) AS h FROM documents),
+    g AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+                 CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+    f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+    p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                       ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p"""
+
+
+@query("op12_fim", OP12_SQL)
+def op12_fim(spark: SparkSession, folder: str) -> DataFrame:
+    return fim.digests(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP13_SQL = r"""
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)),
+    recurring AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS n FROM windows) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM recurring),
+    words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op13_substrings", OP13_SQL)
+def op13_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
