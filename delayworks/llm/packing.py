@@ -48,16 +48,28 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{BLANKS}{
 
 
 class Encoder:
-    """Ids of whole texts; words seen before are looked up, new ones are encoded many at a time."""
+    """Ids of whole texts; words seen before are looked up, new ones are encoded many at a time.
+
+    The vocabulary's reserved tokens keep their ids where a text spells them out, as the library has it by default.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.reserved = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             ends[i] = token.endswith("</w>")
         self.ends, self.known = ends, {}
 
+    @staticmethod
+    def latin(text: str) -> bool:
+        """Whether all characters are Latin-1."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
     def learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
@@ -76,10 +88,9 @@ class Encoder:
         out: list[bytes | None] = []
         split: list[list[str] | None] = []
         for t in texts:
-            try:
-                t.encode("latin-1")
-                split.append(WORD.findall(t.lower()))
-            except UnicodeEncodeError:
+            if self.latin(t):
+                split.append(None if any(r in t for r in self.reserved) else WORD.findall(t.lower()))
+            else:
                 split.append(None)
         fresh = {w for words in split if words for w in words}.difference(self.known)
         if len(self.known) + len(fresh) > CACHE_WORDS:
@@ -164,11 +175,27 @@ def solve(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 20
         inverse = inverse - np.outer(way, row)
         inverse[out] = row
         if step % 256 == 255:
-            inverse = np.linalg.inv(basis)
+            inverse = inverted(basis)
             used = np.maximum(inverse @ counts, 0.0)
     return [(basis[:, i].astype(np.int64), float(used[i])) for i in range(m)]
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan inverse. The driver's threaded linear algebra library can wait forever once its process has forked."""
+    n = len(matrix)
+    both = np.hstack([matrix.astype(float), np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.argmax(np.abs(both[i:, i])))
+        if pivot != i:
+            both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0.0
+        rows = np.flatnonzero(factor)
+        both[rows] -= factor[rows, None] * both[i]
+    return both[:, n:]
+
+
 def knapsack(sizes: np.ndarray, price: np.ndarray, capacity: int) -> np.ndarray:
     """The pattern of the highest price, pieces repeatable, by dynamic programming over the capacity."""
     useful = np.flatnonzero(price > 1e-12)

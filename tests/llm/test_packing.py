@@ -14,8 +14,7 @@ from delayworks.llm import packing, queries
 from tests.llm import frames
 
 PATH = public_tokenizers.path(packing.VOCABULARY)
-PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
+PLAIN = Tokenizer.from_file(PATH)  # as the library has it by default
 
 
 def ids_of(text):
@@ -29,6 +28,16 @@ def test_looked_up_words_give_the_ids_of_the_whole_text(text):
     assert np.frombuffer(raw, "<u4").tolist() == ids_of(text)[:-1]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "a", " ", "ß", "İ", "中", "endoftext", "'s"]), max_size=8).map("".join))
+def test_reserved_tokens_keep_their_ids(text):
+    assert np.frombuffer(packing.encoder(PATH).encode([text])[0], "<u4").tolist() == ids_of(text)[:-1]
+
+
+def test_known_ids_of_reserved_tokens():
+    assert np.frombuffer(packing.encoder(PATH).encode(["<|endoftext|> a"])[0], "<u4").tolist() == [49407, 320]
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 32), st.integers(1, 300), min_size=1, max_size=20))
 def test_plan_places_every_rank_once_within_capacity(histogram):
@@ -115,3 +124,28 @@ def test_sequences_hold_the_ids_in_order(spark):
     for r in placed.collect():
         assert bytes(whole[r.sequence_id].ids[4 * r.offset:4 * (r.offset + r.length)]) == bytes(r.ids)
     assert placed.select(F.sum("length")).first()[0] == sum(r.used for r in whole.values())
+
+
+def test_inverse_by_elimination():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 40):
+        m = rng.integers(0, 5, (n, n)) + np.eye(n) * rng.integers(1, 4, n)[:, None]
+        m[[0, -1]] = m[[-1, 0]]
+        assert np.allclose(packing.inverted(m) @ m, np.eye(n))
+
+
+def test_a_large_plan_ends_in_a_process_that_has_forked(spark):
+    """The table of scale 0.1, with many classes: encoding and plan end within the limit."""
+    import signal
+
+    def late(*_):
+        raise TimeoutError("packing did not end")
+
+    signal.signal(signal.SIGALRM, late)
+    signal.alarm(90)
+    try:
+        placed = queries.QUERIES["op3_packing"](spark, "/root/testdata/sf0.1").groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(
+            F.max("n"), F.sum("n"), F.count("*")).first()
+    finally:
+        signal.alarm(0)
+    assert placed[0] <= 4096 and placed[1] / (4096 * placed[2]) > 0.97
