@@ -6,7 +6,8 @@ Search: 64 bits are two halves; a pair within 3 bits differs in at most one bit
 covered by the perfect [31, 26] Hamming code: every word lies within 1 of exactly one anchor (covering radius 1). A
 fingerprint's home is that anchor, and it is replicated to every anchor within radius plus threshold, 1 + 1 = 2: at most
 16 of the 2^26 anchors of a half. So the home of either one of a pair holds the other, and only anchors are compared. The
-anchor is the partitioning key, and an anchor's fingerprints are few unless they are near each other.
+anchor is the partitioning key. Those at home come first and are held against the rows after them; two replicas are never
+compared. An anchor with more than ``BLOCK`` at home is dealt out in blocks of them, each with all members.
 
 Only distinct fingerprints are compared: copies are members of their fingerprint and never pairs. Links inside an anchor
 are reduced to a spanning forest before they leave the task, and components are found over those.
@@ -34,6 +35,12 @@ SEED = 42
 THRESHOLD = 3
 #: Rows that one comparison step looks at together.
 STEP_ROWS = 1 << 16
+#: An anchor is 31 bits and the number of its half; the number of a block stands above.
+ANCHOR_BITS = 33
+#: Fingerprints at home at an anchor that one task compares with its members.
+BLOCK = 4096
+#: Anchors with more are looked up by broadcast up to this many, joined beyond.
+BROADCAST_ROWS = 100_000
 
 
 def fingerprint_of(text: str | None, words: int = WORDS) -> int:
@@ -117,17 +124,18 @@ def replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of rows sorted by anchor: row i is held against row i + 1, i + 2, ... while the anchor lasts."""
+    """Spanning links of rows sorted by anchor, those at home first: each of them is held against the rows after it, one
+    step further each time, while the anchor lasts."""
     bits = fp.view(np.uint64)
     root = np.arange(len(fp))
-    active, shift = np.arange(len(fp)), 1
+    active, shift = np.flatnonzero(home), 1
     while True:
         active = active[active + shift < len(fp)]
         active = active[anchor[active + shift] == anchor[active]]
         if not len(active):
             break
         other = active + shift
-        near = (home[active] | home[other]) & (np.bitwise_count(bits[active] ^ bits[other]) <= threshold)
+        near = np.bitwise_count(bits[active] ^ bits[other]) <= threshold
         root = merge(root, active[near], other[near])
         shift += 1
     linked = np.flatnonzero(root != np.arange(len(fp)))
@@ -157,12 +165,21 @@ def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush([np.concatenate(x) for x in zip(*held)])
 
 
-def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` that connect all distinct values of column ``fp`` within the threshold."""
+def link_fingerprints(prints: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links ``(a, b)`` that connect all distinct values of column ``fp`` (a stored table) within the threshold."""
     spread = prints.select("fp").mapInArrow(replicas, "anchor long, fp long, home boolean")
-    # an anchor where nothing else is at home has nothing to compare
-    dealt = spread.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(links, "a long, b long")
+    parts = F.ceil(F.col("n") / block).cast("int")
+    crowded = stage(spread.where("home").groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > block)
+                    .select("anchor", parts.alias("parts")), "crowded-anchors")
+    many = crowded.count()
+    if many:
+        lookup = F.broadcast(crowded) if many <= BROADCAST_ROWS else crowded
+        own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+        dealt = (spread.join(lookup, "anchor").withColumn("own", own).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+                 .select(F.col("anchor").bitwiseOR(F.shiftleft(F.col("part").cast("long"), ANCHOR_BITS)).alias("anchor"), "fp",
+                         (F.col("home") & (F.col("part") == F.col("own"))).alias("home")))
+        spread = spread.join(lookup.select("anchor"), "anchor", "left_anti").unionByName(dealt)
+    return spread.repartition("anchor").sortWithinPartitions("anchor", F.desc("home")).mapInArrow(links, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

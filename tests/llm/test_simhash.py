@@ -132,3 +132,12 @@ def test_components_of_a_long_path_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long").repartition(4)).collect()}
     assert {found[i] for i in range(201)} == {0} and {found[1000 + i] for i in range(300)} == {1000} and len(found) == 501
+
+
+def test_crowded_anchors_are_dealt_out_in_blocks(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(64)
+    prints = {base ^ (rng.getrandbits(32) << 32) for _ in range(60)} | {base ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(60)}
+    df = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in prints], "fp long")
+    groups = lambda block: sorted(map(tuple, graph.components(simhash.link_fingerprints(df, block)).collect()))
+    assert groups(2) == groups(7) == groups(simhash.BLOCK) != []
