@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -15,9 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import flag
+from delayworks.operators import boosting, logistic
 from delayworks.operators import metrics as mx
-from delayworks.operators.prep import fit_modes
+from delayworks.operators.dictionaries import DictionaryIndexer, fit_indexer
+from delayworks.operators.prep import WIDE_VALUES, fit_modes
 from delayworks.sources.staging import stage
+from delayworks.sources.steps import Steps
 
 SEED = 42
 FOLDS = 3
@@ -31,6 +36,8 @@ SEARCH = {
 STRENGTHS, STRENGTH_STEPS = (-2, 2), 20
 # Default budgets of the searches.
 TREE_TRIALS, LOGREG_TRIALS, LOGREG_ITERATIONS = 20, 20, 500
+#: Fits of a search that run side by side.
+SIDE_BY_SIDE = 3
 
 
 class BlendedEvaluator(Evaluator):
@@ -60,7 +67,12 @@ def feature_stages(train: DataFrame, numeric: list[str], categorical: list[str],
     stages = [Imputer(inputCols=numeric, outputCols=filled, strategy="median")]
     if categorical:
         stages.append(mode_filler(train, categorical))
-        stages.append(StringIndexer(inputCols=known, outputCols=index, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        wide = wide_columns(train, categorical)
+        few = [c for c in categorical if c not in wide]
+        if few:
+            stages.append(StringIndexer(inputCols=[f"{c}_known" for c in few], outputCols=[f"{c}_index" for c in few],
+                                        handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages += [fit_indexer(train.withColumnRenamed(c, f"{c}_known"), f"{c}_known", f"{c}_index") for c in wide]
         stages.append(OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True))
     stages.append(VectorAssembler(inputCols=filled + hot, outputCol="assembled" if scale else "features"))
     if scale:
@@ -68,6 +80,12 @@ def feature_stages(train: DataFrame, numeric: list[str], categorical: list[str],
     return stages
 
 
+def wide_columns(train: DataFrame, categorical: list[str], most: int = WIDE_VALUES) -> list[str]:
+    """Columns with too many values for the driver, by a sketch of their number; they are numbered by a stored dictionary."""
+    sizes = train.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in categorical]).first()
+    return [c for c in categorical if sizes[c] > 0.9 * most]
+
+
 def mode_filler(train: DataFrame, categorical: list[str]) -> SQLTransformer:
     """``<c>_known``: the column with its training mode for nulls, as a stage that can be saved."""
     modes = {r["column"]: r["mode"] for r in fit_modes(train, categorical).collect()}  # one row per column
@@ -83,6 +101,7 @@ def trained_columns(model: PipelineModel) -> tuple[list[str], list[str]]:
     """Numeric and categorical columns that a fitted pipeline reads."""
     numeric = [c for s in model.stages if s.hasParam("strategy") for c in s.getInputCols()]
     text = [c.removesuffix("_known") for s in model.stages if s.hasParam("stringOrderType") for c in s.getInputCols()]
+    text += [s.getInputCol().removesuffix("_known") for s in model.stages if isinstance(s, DictionaryIndexer)]
     return numeric, text
 
 
@@ -104,27 +123,16 @@ def with_folds(df: DataFrame, keys: list[str], folds: int = FOLDS) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int"))
 
 
-def with_class_flags(df: DataFrame, label: str) -> DataFrame:
-    """A 0/1 column per class, the target of that class's trees."""
-    return df.withColumns({f"{label}_{k}": F.when(F.col(label) == k, 1.0).otherwise(0.0) for k in CLASSES})
+def fit_multiclass(train: DataFrame, label: str, numeric, categorical, sample: DataFrame | None = None, validation: str | None = None,
+                   **params) -> PipelineModel:
+    """Imputation and encodings fitted on ``train``; the boosted trees on it too, or on a sample of its rows.
 
-
-def boosted_trees(label: str, **params) -> list[GBTClassifier]:
-    """Boosted trees for three classes: one weighted two-class booster per class."""
-    settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1, "seed": SEED} | params
-    return [
-        GBTClassifier(labelCol=f"{label}_{k}", featuresCol="features", weightCol="weight", predictionCol=f"called_{k}", **settings)
-        .setRawPredictionCol(f"raw_{k}").setProbabilityCol(f"p_{k}")
-        for k in CLASSES
-    ]
-
-
-def fit_multiclass(train: DataFrame, label: str, numeric, categorical, sample: DataFrame | None = None, **params) -> PipelineModel:
-    """Imputation and encodings fitted on ``train``; the boosters on it too, or on a sample of its rows."""
+    The three classes share one softmax objective. ``validation`` names a boolean column of rows that stop the boosting.
+    """
     prepared = Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train)
-    ready = stage(with_class_flags(prepared.transform(train if sample is None else sample), label), "prepared")
-    trees = Pipeline(stages=boosted_trees(label, **params)).fit(ready)
-    return PipelineModel(stages=[*prepared.stages, *trees.stages])
+    ready = stage(prepared.transform(train if sample is None else sample), "prepared")
+    boosted = boosting.fit_softmax(ready, label, CLASSES, validation=validation, **{"seed": SEED} | params)
+    return boosting.boosted_pipeline(prepared.stages, boosted)
 
 
 def random_settings(trials: int, ranges=None, seed: int = SEED) -> list[dict]:
@@ -143,20 +151,41 @@ def random_settings(trials: int, ranges=None, seed: int = SEED) -> list[dict]:
     return drawn
 
 
-def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict], sample: DataFrame | None = None):
+def tune_multiclass(train: DataFrame, label: str, numeric, categorical, keys, settings: list[dict], sample: DataFrame | None = None,
+                    patience: int = boosting.PATIENCE, steps: Steps | None = None):
     """Search over settings with three hash folds and the blended objective, on ``train`` or a sample of its rows.
 
-    Returns the model refitted with the best setting and one row per setting and parameter.
+    The held-out fold stops the boosting of the others. Returns the model refitted with the best setting, for as many
+    rounds as its folds took on average, and one row per setting and parameter. With ``steps`` the prepared rows, every
+    trial of a fold and the model are stored as they come, and a run that was stopped goes on from there.
     """
-    prepared = Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train)
-    ready = with_class_flags(prepared.transform(train if sample is None else sample), label)
-    trees = boosted_trees(label)
-    grid = [{getattr(t, name): value for t in trees for name, value in setting.items()} for setting in settings]
-    search = CrossValidator(estimator=Pipeline(stages=trees), estimatorParamMaps=grid, evaluator=BlendedEvaluator(label),
-                            numFolds=FOLDS, foldCol="fold", seed=SEED, parallelism=4)
-    found = search.fit(stage(with_folds(ready, keys), "folds"))
-    model = PipelineModel(stages=[*prepared.stages, *found.bestModel.stages])
-    return model, search_rows(train.sparkSession, found.avgMetrics, settings)
+    steps = steps or Steps()
+    prepared = steps.model("preparation", lambda: Pipeline(stages=feature_stages(train, numeric, categorical)).fit(train))
+    ready = steps.table("folds", lambda: with_folds(prepared.transform(train if sample is None else sample), keys))
+    objective = BlendedEvaluator(label)
+
+    def tried(task: tuple[int, int]) -> tuple[float, int]:
+        trial, fold = task
+        fit = boosting.fit_softmax(ready.withColumn("held", F.col("fold") == fold), label, CLASSES, validation="held", patience=patience,
+                                   **{"seed": SEED} | settings[trial])
+        scored = boosting.boosted_pipeline([], fit).transform(ready.where(F.col("fold") == fold))
+        return objective.evaluate(scored.select(label, *mx.PROBABILITIES)), fit.best
+
+    def remembered(task: tuple[int, int]) -> list:
+        return steps.value(f"trial-{task[0]}-fold-{task[1]}", lambda: list(tried(task)))
+
+    tasks = [(trial, fold) for trial in range(len(settings)) for fold in range(FOLDS)]
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        found = dict(zip(tasks, pool.map(remembered, tasks)))
+    scores = [sum(found[trial, fold][0] for fold in range(FOLDS)) / FOLDS for trial in range(len(settings))]
+    best = max(range(len(settings)), key=scores.__getitem__)
+    rounds = max(1, round(sum(found[best, fold][1] for fold in range(FOLDS)) / FOLDS))
+
+    def refitted() -> PipelineModel:
+        boosted = boosting.fit_softmax(ready, label, CLASSES, **{"seed": SEED} | settings[best] | {"maxIter": rounds})
+        return boosting.boosted_pipeline(prepared.stages, boosted)
+
+    return steps.model("model", refitted), search_rows(train.sparkSession, scores, settings)
 
 
 def search_rows(spark, scores: list[float], settings: list[dict]) -> DataFrame:
@@ -178,12 +207,31 @@ def tune_logreg(train: DataFrame, label: str, numeric, categorical, keys, trials
     prepared = Pipeline(stages=feature_stages(train, numeric, categorical, scale=True)).fit(train)
     regression = LogisticRegression(labelCol=label, featuresCol="features", weightCol="weight", elasticNetParam=0.0,
                                     standardization=False, maxIter=iterations)
-    search = CrossValidator(
-        estimator=regression, estimatorParamMaps=[{regression.regParam: s["regParam"]} for s in settings],
-        numFolds=FOLDS, foldCol="fold", evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
-    found = search.fit(stage(with_folds(prepared.transform(train), keys), "folds"))
-    model = PipelineModel(stages=[*prepared.stages, found.bestModel])
-    return model, search_rows(train.sparkSession, found.avgMetrics, settings)
+    folds = stage(with_folds(prepared.transform(train), keys), "folds")
+    scores = logreg_scores(folds, label, [s["regParam"] for s in settings], regression)
+    best = max(range(len(settings)), key=scores.__getitem__)
+    model = PipelineModel(stages=[*prepared.stages, regression.copy({regression.regParam: settings[best]["regParam"]}).fit(folds)])
+    return model, search_rows(train.sparkSession, scores, settings)
+
+
+def logreg_scores(folds: DataFrame, label: str, penalties: list[float], regression: LogisticRegression) -> list[float]:
+    """Mean AUC of each penalty over the held-out folds.
+
+    All penalties and folds are fitted by the same passes over the rows; a table with more features than that holds is
+    searched one penalty and fold at a time.
+    """
+    attributes = folds.schema["features"].metadata.get("ml_attr", {})
+    if int(attributes.get("num_attrs", sum(len(g) for g in attributes.get("attrs", {}).values()))) > logistic.MOST_FEATURES:
+        search = CrossValidator(
+            estimator=regression, estimatorParamMaps=[{regression.regParam: p} for p in penalties], numFolds=FOLDS, foldCol="fold",
+            evaluator=BinaryClassificationEvaluator(labelCol=label), seed=SEED, parallelism=4)
+        return search.fit(folds).avgMetrics
+    pairs = [(fold, p) for p in penalties for fold in range(FOLDS)]
+    beta, _ = logistic.fit_path(folds, label, pairs)
+    counts = logistic.held_out_scores(folds, label, pairs, beta).groupBy("class", "score").agg(
+        F.sum(F.col("hit").cast("bigint")).alias("pos"), F.sum((1 - F.col("hit")).cast("bigint")).alias("neg"))
+    auc = {r["class"]: r["auc"] for r in mx.ranking_by_class(counts).select("class", "auc").collect()}  # a row per pair
+    return [sum(auc.get(FOLDS * i + fold) or 0.0 for fold in range(FOLDS)) / FOLDS for i in range(len(penalties))]
 
 
 def fit_binary(train: DataFrame, label: str, numeric, categorical, **params) -> PipelineModel:
@@ -208,12 +256,8 @@ def tune_binary(train: DataFrame, label: str, numeric, categorical, keys, settin
 
 
 def with_probabilities(scored: DataFrame) -> DataFrame:
-    """Probability columns and the most probable class of a frame scored by three boosters."""
-    hit = {k: F.get(vector_to_array(f"p_{k}"), F.lit(1)) for k in CLASSES}
-    total = sum((hit[k] for k in CLASSES[1:]), hit[CLASSES[0]])
-    even = F.lit(1.0 / len(CLASSES))
-    wide = scored.withColumns({f"proba_{k}": F.coalesce(F.try_divide(hit[k], total), even) for k in CLASSES})
-    return wide.withColumn("pred_class", mx.argmax_class())
+    """The most probable class of a frame that holds the probability of each."""
+    return scored.withColumn("pred_class", mx.argmax_class())
 
 
 def with_default_probability(scored: DataFrame) -> DataFrame:
@@ -233,14 +277,30 @@ def score_threshold(df: DataFrame, score: str, threshold: float = 0.5) -> DataFr
 
 
 def feature_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """Feature names with their importance, averaged over the boosters, largest first."""
+    """Importance of each source column, averaged over the boosters, largest first: the parts of an encoded column are summed.
+
+    Shares of 1; all zero only if no tree of the model has a split.
+    """
     attributes = scored.schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for group in attributes.values() for a in group}
+    numeric, text = trained_columns(model)
+    source = {a["idx"]: column_of(a["name"], numeric, text) for group in attributes.values() for a in group}
     boosters = [s.featureImportances for s in model.stages if hasattr(s, "featureImportances")]
-    rows = [(names[i], float(sum(w[i] for w in boosters) / len(boosters))) for i in range(boosters[0].size)]
+    total = dict.fromkeys((*numeric, *text), 0.0)
+    for weights in boosters:
+        for i, w in zip(weights.indices.tolist(), weights.values.tolist()):
+            total[source[i]] += w
+    whole = sum(total.values()) or 1.0
+    rows = [(c, w / whole) for c, w in total.items()]
     return scored.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def column_of(part: str, numeric: list[str], text: list[str]) -> str:
+    """The source column of a feature: the column itself, or the encoded one whose value the feature stands for."""
+    if part.removesuffix("_filled") in numeric:
+        return part.removesuffix("_filled")
+    return max((c for c in text if re.match(re.escape(f"{c}_hot_"), part)), key=len)
+
+
 def evaluate_binary(scored: DataFrame, label: str, score: str = "default_proba", threshold: float = 0.5) -> DataFrame:
     """AUC, Gini and the threshold metrics of a binary model as (metric, value) rows."""
     ranked = mx.ranking_by_class(mx.binary_scores(scored, label, score))

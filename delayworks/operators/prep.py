@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from delayworks.functions.flights import month_floor
 from delayworks.operators.joins import lookup_join
 from delayworks.operators.profile import numeric_columns
-from delayworks.operators.ranking import bounded_sample, hash_select, long_values, quantiles
+from delayworks.operators.ranking import SLICE_ROWS, bounded_sample, hash_select, long_values, numbered, quantiles
 
 # Columns never used as features.
 ID_LIKE = ("flight_id", "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID", "IsPublicHoliday", "is_extra_candidate")
@@ -22,6 +22,8 @@ LEAKAGE = (
 MAJORITY_SHARE = 0.2
 #: Documented bound of the rows that boosters are fitted or tuned on; imputation, encodings and weights use all rows.
 TUNING_ROWS = 50_000
+#: Most values of a categorical column that become columns of their own, or that a fitted stage holds.
+WIDE_VALUES = 10_000
 
 
 def time_split(df: DataFrame, date_col: str, total_months: int, val_months: int, test_months: int) -> DataFrame:
@@ -110,20 +112,51 @@ def impute_mode(df: DataFrame, train: DataFrame, columns) -> DataFrame:
     return fill_from(df, {r["column"]: r["mode"] for r in fit_modes(train, columns).collect()})  # one row per column
 
 
-def fit_categories(train: DataFrame, column: str) -> list:
-    """Training values of a categorical column."""
-    return sorted(r[0] for r in train.select(column).where(F.col(column).isNotNull()).distinct().collect())
+def fit_categories(train: DataFrame, column: str, most: int = WIDE_VALUES) -> list:
+    """Training values of a categorical column with at most ``most`` of them."""
+    values = train.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values: use fit_dictionary and one_hot_sparse")
+    return sorted(r[0] for r in values)
 
 
-def one_hot(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
+def one_hot(df: DataFrame, train: DataFrame, column: str, most: int = WIDE_VALUES) -> DataFrame:
     """A 0/1 column per training value; an unknown or missing value gives all zeros.
 
-    Made for columns with few values: each becomes a column, in one projection.
+    Made for columns with few values: each becomes a column, in one projection. :func:`one_hot_sparse` takes any number.
     """
-    values = fit_categories(train, column)
+    values = fit_categories(train, column, most)
     return df.select("*", *[F.when(F.col(column) == v, 1).otherwise(0).cast("int").alias(f"{column}_{v}") for v in values])
 
 
+def fit_dictionary(train: DataFrame, column: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``(value, index)`` for every training value of a column, numbered from 0 in the order of the values.
+
+    The values stay distributed: they are numbered by counted range slices, whatever their number.
+    """
+    values = train.select(F.col(column).cast("string").alias("value")).where("value is not null").distinct()
+    return numbered(values, ["value"], "index", slice_rows)
+
+
+def index_by(df: DataFrame, dictionary: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the number of a column's value in its dictionary; null for an unknown or missing value."""
+    lookup = dictionary.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+    joined = df.join(lookup, F.col(f"`{column}`").cast("string") == F.col("_value"), "left")
+    return joined.withColumn(name, F.col("_index")).drop("_value", "_index")
+
+
+def one_hot_sparse(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
+    """Add ``<column>_hot``: the one-hot vector of a value as its size, indices and values; an unknown one has no index."""
+    size = dictionary.count()
+    name = f"_{column}_number"
+    rows = index_by(df, dictionary, column, name)
+    known = F.col(name).isNotNull()
+    hot = F.struct(F.lit(size).cast("long").alias("size"),
+                   F.when(known, F.array(name)).otherwise(F.array().cast("array<bigint>")).alias("indices"),
+                   F.when(known, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"))
+    return rows.withColumn(f"{column}_hot", hot).drop(name)
+
+
 def standard_scale(df: DataFrame, train: DataFrame, columns) -> DataFrame:
     """Add ``<c>_scaled``: centred on the training mean, divided by the training deviation (population)."""
     fitted = train.agg(F.struct(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c)

@@ -44,6 +44,48 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], measures:
     return rows.withColumns(before).drop("_slice", *[f"_off_{m}" for m in measures])
 
 
+def numbered(df: DataFrame, order: list[str], name: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``name``: the row's number from 0 in this order, nulls first; equal rows in any order.
+
+    Rows are range-partitioned into even slices and sorted inside them; the driver holds one row count per slice.
+    """
+    tied = stage(df, "unnumbered").withColumn("_tie", F.monotonically_increasing_id())
+    slices = max(1, math.ceil(tied.count() / slice_rows))
+    sort = [*order, "_tie"]
+    placed = stage(tied.repartitionByRange(slices, *sort).sortWithinPartitions(*sort).drop("_tie")
+                   .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    bases, base = [], 0
+    for r in placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect():  # a row per slice
+        bases.append((r["_part"], base))
+        base += r["n"]
+    lookup = df.sparkSession.createDataFrame(bases, "_part long, _base long")
+    return lookup_join(placed.withColumn("_part", part), lookup, ["_part"], "inner").withColumn(
+        name, F.col("_base") + row).drop("_part", "_base", "_at")
+
+
+def carried_last(df: DataFrame, order: list[str], value: str, name: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``name``: the last value that is not null at or before each row in this order, nulls first.
+
+    Rows are range-partitioned into even slices, equal ones spread over several if need be; a window runs inside each
+    slice only, and what a slice inherits is the last value of the slices before it (one row per slice on the driver).
+    """
+    tied = stage(df, "uncarried").withColumn("_tie", F.monotonically_increasing_id())
+    slices = max(1, math.ceil(tied.count() / slice_rows))
+    ranged = stage(tied.repartitionByRange(slices, *order, "_tie").withColumn("_slice", F.spark_partition_id()), "slices")
+    ends = (ranged.groupBy("_slice").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order, "_tie"))).alias("last"))
+            .orderBy("_slice").collect())
+    inherited, last = [], None
+    for r in ends:
+        inherited.append((r["_slice"], last))
+        last = r["last"] if r["last"] is not None else last
+    kind = df.schema[value].dataType.simpleString()
+    lookup = df.sparkSession.createDataFrame(inherited, f"_slice int, _inherited {kind}")
+    upto = Window.partitionBy("_slice").orderBy(*order, "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = lookup_join(ranged, lookup, ["_slice"], "inner")
+    return rows.withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(upto), "_inherited")).drop("_slice", "_tie", "_inherited")
+
+
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value) rows of the numeric columns, nulls left out."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))

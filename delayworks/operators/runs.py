@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from delayworks.functions.flights import month_floor
 from delayworks.operators.cleaning import keep_first
+from delayworks.operators.ranking import SLICE_ROWS, carried_last
 from delayworks.sources.schemas import try_resolve
 
 # Names a score column may have, least ages for retraining.
@@ -64,19 +64,19 @@ def best_run(runs: DataFrame, metric: str, train_date=None, min_test_auc: float
     return best.withColumn("promote", guard)
 
 
-def retrain_decision(days: DataFrame, production: DataFrame, rule: str = "months") -> DataFrame:
+def retrain_decision(days: DataFrame, production: DataFrame, rule: str = "months", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """'retrain' or 'infer' for each day, by the age of the model in production that day.
 
     ``production`` has one row per promotion. A day without a model retrains. Rule
     'months' counts calendar months, rule 'days' counts days.
     """
     # as-of join: promotions and days in one order, each day takes the last promotion before or on it
-    promoted = production.select(F.col("train_date").alias("_at"), F.col("train_date").alias("_promoted")).distinct()
-    asked = days.select(F.col("day").alias("_at"), F.lit(None).cast("date").alias("_promoted"), F.struct(*days.columns).alias("_row"))
+    promoted = production.select(F.col("train_date").alias("_at"), F.lit(0).alias("_asked"), F.col("train_date").alias("_promoted")).distinct()
+    asked = days.select(F.col("day").alias("_at"), F.lit(1).alias("_asked"), F.lit(None).cast("date").alias("_promoted"),
+                        F.struct(*days.columns).alias("_row"))
     both = promoted.withColumn("_row", F.lit(None).cast(asked.schema["_row"].dataType)).unionByName(asked)
-    upto = Window.partitionBy(F.lit(0)).orderBy("_at", F.asc_nulls_last("_promoted"))  # a row per day of the calendar
-    last = F.last("_promoted", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = both.withColumn("production_date", last).where("_row is not null").select("_row.*", "production_date")
+    carried = carried_last(both, ["_at", "_asked"], "_promoted", "production_date", slice_rows)
+    rows = carried.where("_row is not null").select("_row.*", "production_date")
     months = (F.year("day") - F.year("production_date")) * 12 + F.month("day") - F.month("production_date")
     age = F.datediff("day", "production_date")
     due = months >= RETRAIN_MONTHS if rule == "months" else age >= RETRAIN_DAYS

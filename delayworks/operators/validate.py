@@ -22,6 +22,10 @@ GOLD_REQUIRED = (
 COMBINED_REQUIRED = ("IS_DELAYED", "dep_3hour_col", "arr_3hour_col", "flight_id", "is_extra_candidate")
 
 
+#: Least share of combined rows that have weather.
+LEAST_COVERAGE = 0.8
+
+
 class ValidationError(ValueError):
     """A check failed in strict mode."""
 
@@ -110,7 +114,7 @@ def validate_gold(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def validate_combined(df: DataFrame, flight_rows: Column | int, daily: bool = False,
-                      min_coverage: float = 0.8, strict: bool = False) -> DataFrame:
+                      min_coverage: float = LEAST_COVERAGE, strict: bool = False) -> DataFrame:
     """Column groups, class split, weather coverage, row count against the flights, date handling."""
     c = F.col
     weather = [x for x in df.columns if x.startswith("weather_")]

@@ -13,7 +13,8 @@ from delayworks.plans import oracle
 from delayworks.plans.catalog.io import dated
 from delayworks.plans.oracle import METRO, sql
 from delayworks.plans.registry import query
-from delayworks.sources.staging import stage
+from delayworks.sources import readers, sinks
+from delayworks.sources.staging import scratch_path, stage
 
 ID = ("OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM", "ORIGIN", "DEST", "FlightDate", "CRS_DEP_TIME")
 ID_SQL = ", ".join(ID)
@@ -32,6 +33,13 @@ def stored_silver(spark, d):
     return stage(silver(spark, d), "silver")
 
 
+def silver_by_day(spark, d):
+    """Silver laid out by snapshot date, as the daily job finds it."""
+    path = scratch_path(spark, "silver")
+    sinks.write_partitioned(readers.snapshot_backfill(silver(spark, d)), path, "snapshot_date", jobs.BRONZE_ORDER)
+    return spark.read.parquet(path)
+
+
 def gold(spark, d):
     return jobs.gold_flights(stored_silver(spark, d)).drop("processing_timestamp")
 

@@ -11,7 +11,8 @@ from delayworks.plans.catalog import flights as fl
 from delayworks.plans.catalog import weather as wx
 from delayworks.plans.oracle import GOLD_COLUMNS, WEATHER_FEATURES, sql
 from delayworks.plans.registry import query
-from delayworks.sources.staging import stage
+from delayworks.sources import sinks
+from delayworks.sources.staging import scratch_path, stage
 
 GOLD_SQL = ", ".join(f'"{c}"' for c in GOLD_COLUMNS)
 WEATHER_SQL = ", ".join(f'"weather_{c}"' for c in WEATHER_FEATURES)
@@ -72,7 +73,14 @@ def gold_combined(spark, d):
     SELECT * EXCLUDE (FlightDate) FROM (SELECT {GOLD_SQL}, {WEATHER_SQL} FROM combined)
     WHERE snapshot_date = DATE '{DAY}'""", "combined"))
 def gold_combined_daily(spark, d):
-    return fl.rounded_score(combined(spark, d, day=DAY))
+    """The daily job on stored tables: one slice of gold, made with the statistics of all of silver, and one of weather."""
+    silver = fl.silver_by_day(spark, d)
+    gold, weather = scratch_path(spark, "gold"), scratch_path(spark, "weather")
+    near = F.col("snapshot_date").between(F.date_sub(F.lit(DAY).cast("date"), 3), F.date_add(F.lit(DAY).cast("date"), 3))
+    week = jobs.gold_flights(silver.where(near), history=silver).drop("processing_timestamp")
+    sinks.write_partitioned(week, gold, "snapshot_date", jobs.BRONZE_ORDER[1:])
+    sinks.write_cutoff_split(wx.silver(spark, d), weather, "date", DAY, ["time"])
+    return fl.rounded_score(jobs.gold_combined(spark.read.parquet(gold), spark.read.parquet(weather), DAY).drop("slice"))
 
 
 @query("features_labels_inner", sql("""

@@ -10,9 +10,11 @@ from delayworks.operators import airports, cleaning, drift, features, joins, loa
 from delayworks.operators import metrics as mx
 from delayworks.sources import readers, schemas, sinks
 from delayworks.sources.staging import stage
+from delayworks.sources.steps import Steps
 
 BRONZE_ORDER = ["sort_time", "OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM"]
 SILVER_ORDER = ["FlightDate", *BRONZE_ORDER]
+BY_DEFAULT = object()  # the validator that fits the run
 WEATHER_END, CUTOFF = "2025-04-01", "2025-01-01"  # Fixed values: last observation day, first daily slice.
 
 
@@ -52,36 +54,38 @@ def gold_combined(gold: DataFrame, silver_weather: DataFrame, day=None, **option
     return joins.join_weather(flights, slots, daily=True, **options).drop("FlightDate")
 
 
-def training_rows(gold: DataFrame, label: str, date_col: str, months, keys: list[str]):
+def training_rows(gold: DataFrame, label: str, date_col: str, months, keys: list[str], steps: Steps | None = None):
     """Usable rows, downsampled and split by month: the split table and its numeric and text features."""
-    usable, _ = cleaning.coerce_dates(gold, date_col, label)
-    sampled = prep.downsample_majority(stage(usable, "usable"), keys, label)
+    steps = steps or Steps()
+    usable = steps.table("usable", lambda: cleaning.coerce_dates(gold, date_col, label)[0])
+    sampled = prep.downsample_majority(usable, keys, label)
     numeric, text = prep.feature_columns(sampled, exclude=(label, date_col, "leg", "TAIL_NUM", "year_month", "slice"))
-    split = stage(models.as_doubles(prep.time_split(sampled, date_col, *months), numeric), "split")
+    split = steps.table("split", lambda: models.as_doubles(prep.time_split(sampled, date_col, *months), numeric))
     return split, numeric, text
 
 
 def training_metrics(gold: DataFrame, label: str = "IS_DELAYED", date_col: str = "FlightDate",
                      months=(24, 1, 1), keys=(*cleaning.FLIGHT_KEY,), cap: int | None = prep.TUNING_ROWS,
-                     settings: list[dict] | None = None, **params):
+                     settings: list[dict] | None = None, steps: Steps | None = None, **params):
     """Split, downsample, weight, fit on train, and evaluate on validation and test.
 
     ``cap`` is the documented bound of the rows that the boosters see; medians, modes, encodings and class weights come
     from all of train. With ``settings`` the best of them is searched and refitted, else ``params`` are fitted.
-    Returns the model, the split table and (split, metric, value) rows; with a search also its trials.
+    Returns the model, the split table and (split, metric, value) rows; with a search also its trials. ``steps`` stores
+    what is done, so that a run that was stopped goes on from its last step.
     """
-    keys = list(keys)
-    split, numeric, text = training_rows(gold, label, date_col, months, keys)
-    train = stage(prep.class_weights(split.where("split = 'train'"), label), "train")
-    sample = None if cap is None else stage(prep.row_cap(train, keys, cap), "sample")
+    keys, steps = list(keys), steps or Steps()
+    split, numeric, text = training_rows(gold, label, date_col, months, keys, steps)
+    train = steps.table("train", lambda: prep.class_weights(split.where("split = 'train'"), label))
+    sample = None if cap is None else steps.table("sample", lambda: prep.row_cap(train, keys, cap))
     trials = None
     if settings:
-        model, trials = models.tune_multiclass(train, label, numeric, text, keys, settings, sample)
+        model, trials = models.tune_multiclass(train, label, numeric, text, keys, settings, sample, steps=steps)
     else:
-        model = models.fit_multiclass(train, label, numeric, text, sample, **params)
+        model = steps.model("model", lambda: models.fit_multiclass(train, label, numeric, text, sample, **params))
     reports = []
     for name in ("val", "test"):
-        scored = stage(models.score_multiclass(model, split.where(F.col("split") == name), keys, label), name)
+        scored = steps.table(f"scored-{name}", lambda: models.score_multiclass(model, split.where(F.col("split") == name), keys, label))
         reports.append(models.evaluate_multiclass(scored, label).select(F.lit(name).alias("split"), "metric", "value"))
     report = reports[0].unionByName(reports[1])
     return (model, split, report, trials) if settings else (model, split, report)
@@ -150,8 +154,8 @@ def monthly_monitor(run_table: DataFrame, scores: DataFrame, labels: DataFrame,
 
 
 # --- stored runs --------------------------------------------------------------
-# Every run of a layer can check what it stored: ``check`` is a validator of operators/validate.py, called on the table
-# (or the day's slice of it) with strict=True, so that a failed check stops the run.
+# Every run of a layer checks what it stored: ``check`` is a validator of operators/validate.py, called on the rows of the
+# run with strict=True, so that a failed check stops it; ``check=None`` leaves it out.
 
 def _checked(spark: SparkSession, out: str, check, day=None) -> None:
     if check is not None:
@@ -159,6 +163,27 @@ def _checked(spark: SparkSession, out: str, check, day=None) -> None:
         check(readers.snapshot_slice(stored, day) if day else stored, strict=True)
 
 
+def bronze_check(start=None, end=None, day=None):
+    """Validator of the days that a bronze run stores; other months of the table are not looked at."""
+    first = F.lit(day).cast("date") if day else F.make_date(F.lit(start[0]), F.lit(start[1]), F.lit(1))
+    last = F.lit(day).cast("date") if day else F.last_day(F.make_date(F.lit(end[0]), F.lit(end[1]), F.lit(1)))
+
+    def check(stored: DataFrame, strict: bool = False) -> DataFrame:
+        return validate.validate_bronze(stored.where(F.col("FlightDate").between(first, last)), 1, 1 << 62, first, last, strict=strict)
+
+    return check
+
+
+def combined_check(gold: DataFrame, day=None, min_coverage: float = validate.LEAST_COVERAGE):
+    """Validator of a combined run: as many rows as the flights have metro ends, weather for most of them."""
+    flights = readers.snapshot_slice(gold, day) if day else gold
+
+    def check(stored: DataFrame, strict: bool = False) -> DataFrame:
+        return validate.validate_combined(stored, joins.explode_legs(flights).count(), bool(day), min_coverage, strict)
+
+    return check
+
+
 def _store(df: DataFrame, out: str, by: str, order: list[str], append: bool) -> None:
     """Replace the partitions at hand, or append the rows they lack."""
     if append:
@@ -168,11 +193,11 @@ def _store(df: DataFrame, out: str, by: str, order: list[str], append: bool) ->
 
 
 def run_bronze_flights(spark: SparkSession, folder: str, out: str, start=None, end=None, day=None,
-                       schema=schemas.RAW_FLIGHT_TYPES, append: bool = False, check=None) -> None:
+                       schema=schemas.RAW_FLIGHT_TYPES, append: bool = False, check=BY_DEFAULT) -> None:
     """Monthly files to the bronze table, by month, or one day to its daily slice."""
     raw = readers.read_day(spark, folder, day, schema) if day else readers.read_months(spark, folder, start, end, schema)
     _store(bronze_flights(raw, day), out, "snapshot_date" if day else "year_month", ["FlightDate", *BRONZE_ORDER], append)
-    _checked(spark, out, check, day)
+    _checked(spark, out, bronze_check(start, end, day) if check is BY_DEFAULT else check, day)
 
 
 def run_silver_flights(spark: SparkSession, bronze: str, out: str, by: str = "year_month", day=None, months=None,
@@ -202,24 +227,28 @@ def run_silver_weather(spark: SparkSession, bronze: str, out: str, cutoff=CUTOFF
     sinks.write_cutoff_split(silver, out, "date", cutoff, ["T+1_forecast", "time"])
 
 
-def run_gold_combined(spark: SparkSession, gold: str, silver_weather: str, out: str, day=None, check=None) -> None:
-    df = gold_combined(spark.read.parquet(gold), spark.read.parquet(silver_weather), day)
+def run_gold_combined(spark: SparkSession, gold: str, silver_weather: str, out: str, day=None, check=BY_DEFAULT) -> None:
+    flights = spark.read.parquet(gold)
+    df = gold_combined(flights, spark.read.parquet(silver_weather), day)
     sinks.write_partitioned(df, out, "snapshot_date", BRONZE_ORDER[1:])
-    _checked(spark, out, check, day)
+    _checked(spark, out, combined_check(flights, day) if check is BY_DEFAULT else check, day)
 
 
 def run_training(spark: SparkSession, combined: str, out: str, train_date=None, daily: str | None = None, months=(24, 1, 1),
                  keys=(*cleaning.FLIGHT_KEY,), trials: int = models.TREE_TRIALS, ranges=None, cap: int | None = prep.TUNING_ROWS) -> None:
     """Stitch history and daily slices, split, search, refit, evaluate; store model, metrics, trials and split summary.
 
-    ``train_date`` limits the rows to the window of ``months`` before it. The search draws ``trials`` settings.
+    ``train_date`` limits the rows to the window of ``months`` before it. The search draws ``trials`` settings. Steps
+    are stored under ``out/steps``: the same call after a stop goes on from the last of them, other inputs start anew.
     """
     gold = spark.read.parquet(combined)
     if daily or train_date:
         later = spark.read.parquet(daily) if daily else gold.where("false")
         gold = readers.stitch(gold, later, train_date or F.current_date(), months[0])
     settings = models.random_settings(trials, ranges)
-    model, split, report, found = training_metrics(gold, months=months, keys=keys, cap=cap, settings=settings)
+    given = {"files": sorted(gold.inputFiles()), "train_date": str(train_date), "months": list(months), "keys": list(keys), "cap": cap, "settings": settings}
+    steps = Steps(spark, f"{out}/steps", given)
+    model, split, report, found = training_metrics(gold, months=months, keys=keys, cap=cap, settings=settings, steps=steps)
     model.write().overwrite().save(f"{out}/model")
     sinks.write_table(report, f"{out}/metrics")
     sinks.write_table(found, f"{out}/trials")

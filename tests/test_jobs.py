@@ -178,7 +178,7 @@ def test_metrics_of_other_periods_stay(spark, tmp_path):
 
 
 def test_mixed_folders_lose_nothing(spark, tmp_path):
-    spark.createDataFrame([(1, "x")], "a int, b string").write.parquet(str(tmp_path / "in/p.parquet"))
+    spark.createDataFrame([(1, "x")], "a int, b string").coalesce(1).write.parquet(str(tmp_path / "in/p.parquet"))
     for part in (tmp_path / "in/p.parquet").glob("part-*"):
         part.rename(tmp_path / "in" / "one.PQ")
     (tmp_path / "in/t.csv").write_text("b,a\ny,2\n")

@@ -251,3 +251,46 @@ def test_dedupe_does_not_depend_on_row_order(spark):
     a = cleaning.dedupe_flights(spark.createDataFrame(rows, schema).repartition(7)).collect()
     b = cleaning.dedupe_flights(spark.createDataFrame(rows[::-1], schema)).collect()
     assert a == b and len(a) == 1 and a[0].ARR_DELAY_NEW == 0.0
+
+
+def test_numbers_and_carried_values_by_slices(spark):
+    import random
+
+    from delayworks.operators import ranking
+
+    rng = random.Random(11)
+    rows = [(rng.choice([None, *range(40)]), rng.choice([None, None, rng.randint(0, 9)])) for _ in range(700)] + [(17, None)] * 300
+    df = spark.createDataFrame(rows, "at int, v int").withColumn("v", F.when(F.col("v").isNotNull(), F.col("at"))).repartition(5)
+    placed = ranking.numbered(df, ["at"], "number", slice_rows=90).orderBy("number").collect()
+    assert [r["number"] for r in placed] == list(range(1000))
+    assert [r["at"] for r in placed] == sorted((r[0] for r in rows), key=lambda a: (a is not None, a or 0))
+    for r in ranking.carried_last(df, ["at"], "v", "last", slice_rows=90).where("v is null").collect():
+        known = [a for a, v in rows if a is not None and v is not None and r["at"] is not None and a < r["at"]]
+        same = any(a == r["at"] and v is not None for a, v in rows)
+        assert r["last"] in {max(known, default=None), r["at"] if same else max(known, default=None)}
+
+
+def test_retraining_by_slices_has_no_single_partition(spark):
+    from delayworks.operators import runs
+
+    days = spark.sql("select explode(sequence(date '2024-01-01', date '2024-12-31')) as day").unionAll(
+        spark.sql("select date '2024-06-01' from range(300)"))
+    production = spark.createDataFrame([("2024-02-01",), ("2024-05-15",), ("2024-05-15",)], "d string").select(F.to_date("d").alias("train_date"))
+    whole = sorted(map(tuple, runs.retrain_decision(days, production).collect()), key=str)
+    sliced = runs.retrain_decision(days, production, slice_rows=50)
+    assert sorted(map(tuple, sliced.collect()), key=str) == whole
+    assert "SinglePartition" not in plan(sliced)
+    import datetime as dt
+
+    for day, promoted, decision in whole:
+        last = max((p for p in (dt.date(2024, 2, 1), dt.date(2024, 5, 15)) if p <= day), default=None)
+        due = last is None or (day.year - last.year) * 12 + day.month - last.month >= 2
+        assert (promoted, decision) == (last, "retrain" if due else "infer")
+
+
+def test_daily_combined_prunes_stored_slices(spark, small):
+    from delayworks.plans.catalog import joining
+
+    text = plan(joining.gold_combined_daily(spark, small))
+    assert text.count("PartitionFilters: [isnotnull(snapshot_date") == 1
+    assert re.search(r"PartitionFilters: \[[^\]]*slice", text)
