@@ -1,9 +1,10 @@
 """Toxicity: a linear-chain conditional random field tags toxic spans; its marginals give document scores and offsets.
 
 Only documents carry labels, so tokens are labelled from them first: words and stems found in toxic
-documents far more often than chance allows are toxic tokens there, all other tokens are not. The chain sees a token and
-its neighbours. The score of a document is the marginal of its most toxic
-token, calibrated on the labelled sample; the offending offsets are the runs of tokens more likely toxic than not.
+documents far more often than chance allows are toxic tokens there, all other tokens are not. The chain sees of every token
+its entry among those, the hashed word, its hashed beginnings and ending and its shape, and the entries of its neighbours;
+what an unseen word is worth is decided by the weights of its parts. The score of a document is the marginal of its most
+toxic token, calibrated on the labelled sample; the offending offsets are the runs of tokens more likely toxic than not.
 
 Defined cases: a null or empty text has no token and gets the score of one; repeated rows get equal scores; an empty table
 gives an empty result; only the named id and text columns are read. Without usable labels every score is 0.5.
@@ -12,6 +13,7 @@ gives an empty result; only the named id and text columns are read. Without usab
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -24,10 +26,12 @@ from delayworks.llm import crf
 from delayworks.llm.common import free_name, pieces, texts_of
 from delayworks.llm.quality import training_rows
 
-#: Most labelled documents of a class that the chain is fitted on: the classifier's only bound. Scoring reads every row.
+#: Most labelled documents of a class that label the tokens and calibrate the score. Scoring reads every row.
 FIT_DOCUMENTS = 1500
-#: Of those, so many of a class fit the weights of the chain, after all of them have labelled the tokens.
+#: Of those, so many of a class, drawn by the hash of their text, fit the weights of the chain.
 CHAIN_DOCUMENTS = 300
+#: Hashed parts of a word: beginnings of so many letters, the ending, the whole, each in a table of its own.
+BEGINNINGS, ENDING, HASH_SIZE = (4, 6, 8), 3, 1 << 14
 STEMS = (5, 4)
 THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+")
@@ -119,11 +123,20 @@ class ToxicityModel:
         get, (five, four) = self.words.get, (s.get for s in self.stems)
         return [get(w) or five(w[:5]) or four(w[:4], UNKNOWN) for w in words]
 
+    def features(self, documents: list[list[str]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Feature slots of all tokens, their entries, and how many tokens each document has."""
+        sizes = np.array([len(d) for d in documents], int)
+        number: dict[str, int] = {}
+        words = np.array([number.setdefault(w, len(number)) for d in documents for w in d], np.int64)
+        known = list(number)
+        ids = np.array(self.ids(known), np.int64)[words] if known else words
+        parts = parts_of(known)
+        return [*neighbours(ids, sizes, len(self.vocabulary)), *(p[words] for p in parts)], ids, sizes
+
     def marginals(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Marginal of every token, and how many tokens each document has."""
-        sizes = np.array([len(d) for d in documents], int)
-        ids = np.array([i for d in documents for i in self.ids(d)], np.int64)
-        return self.chain.marginals(features(ids, sizes, len(self.vocabulary)), starts_of(sizes)), sizes
+        slots, _, sizes = self.features(documents)
+        return self.chain.marginals(slots, starts_of(sizes)), sizes
 
     def scores(self, documents: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         p, sizes = self.marginals(documents)
@@ -150,7 +163,7 @@ def starts_of(sizes: np.ndarray) -> np.ndarray:
     return starts
 
 
-def features(ids: np.ndarray, sizes: np.ndarray, edge: int) -> list[np.ndarray]:
+def neighbours(ids: np.ndarray, sizes: np.ndarray, edge: int) -> list[np.ndarray]:
     """The token, the one before and the one after; ``edge + 1`` stands beyond either end of a document."""
     starts = starts_of(sizes)
     before, after = np.empty_like(ids), np.empty_like(ids)
@@ -161,6 +174,19 @@ def features(ids: np.ndarray, sizes: np.ndarray, edge: int) -> list[np.ndarray]:
     return [ids, before, after]
 
 
+def parts_of(words: list[str]) -> list[np.ndarray]:
+    """Hashed beginnings, ending and whole of each word, and its shape; 0 stands for a part that the word is too short for."""
+    def hashed(parts: list[str | None]) -> np.ndarray:
+        return np.array([1 + zlib.crc32(p.encode("utf-8", "replace")) % (HASH_SIZE - 1) if p else 0 for p in parts], np.int64)
+
+    shape = np.array([min(len(w), 15) + 16 * (not w.isalpha()) + 32 * (not w.isascii()) for w in words], np.int64)
+    return [*(hashed([w[:n] if len(w) > n else None for w in words]) for n in BEGINNINGS),
+            hashed([w[-ENDING:] if len(w) > ENDING else None for w in words]), hashed(words), shape]
+
+
+PART_SIZES = [HASH_SIZE] * (len(BEGINNINGS) + 2) + [64]
+
+
 def top_logit(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Log odds of each document's most toxic token; unlike a sum over tokens it does not drift with the length."""
     top = np.full(len(sizes), 1e-6)
@@ -170,23 +196,24 @@ def top_logit(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.log(top / (1 - top))
 
 
-def train(texts: list[str], labels: np.ndarray) -> ToxicityModel:
+def train(texts: list[str], labels: np.ndarray, chain_documents: int = CHAIN_DOCUMENTS) -> ToxicityModel:
+    """Fit on whole labelled texts; the chain's weights on the first ``chain_documents`` of each class in the order of the texts' hashes."""
     labels = np.asarray(labels, int)
     if len(set(labels.tolist())) < 2:
-        none = crf.Chain([np.zeros(2)] * 3, -20.0, 0.0, np.zeros((2, 2)))
+        none = crf.Chain([np.zeros(2)] * 3 + [np.zeros(n) for n in PART_SIZES], -20.0, 0.0, np.zeros((2, 2)))
         return ToxicityModel(none, {}, 0.0, 0.0)
     pool: dict[str, str] = {}
     documents = [[pool.setdefault(w, w) for w in tokens_of(t)] for t in texts]
     toxic = token_labels(documents, labels)
-    few = sorted(np.concatenate([np.flatnonzero(labels == k)[:CHAIN_DOCUMENTS] for k in (0, 1)]).tolist())
+    drawn = np.argsort([zlib.crc32(t.encode("utf-8", "replace")) for t in texts], kind="stable")
+    few = sorted(np.concatenate([drawn[labels[drawn] == k][:chain_documents] for k in (0, 1)]).tolist())
     part, part_labels = [documents[i] for i in few], labels[few]
     known = sorted(toxic)
     model = ToxicityModel(crf.Chain([], 0.0, 0.0, np.zeros((2, 2))), {w: i for i, w in enumerate(known, start=1)}, 1.0, 0.0)
-    ids = np.array([i for d in part for i in model.ids(d)], np.int64)
+    slots, ids, sizes = model.features(part)
     is_toxic = np.array([False, *(w in toxic for w in known)])
-    sizes = np.array([len(d) for d in part], int)
     marks = (is_toxic[ids] & (np.repeat(part_labels, sizes) == 1)).astype(int)
-    chain = crf.fit(features(ids, sizes, len(known)), [len(known) + 2] * 3, marks, starts_of(sizes), rounds=60, rate=0.3)
+    chain = crf.fit(slots, [len(known) + 2] * 3 + PART_SIZES, marks, starts_of(sizes), rounds=60, rate=0.3)
     model = ToxicityModel(chain, model.vocabulary, 1.0, 0.0)
     p, sizes = model.marginals(documents)
     slope, shift = crf.logistic(top_logit(p, sizes), labels.astype(float))
@@ -194,8 +221,9 @@ def train(texts: list[str], labels: np.ndarray) -> ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic",
-        most: int = FIT_DOCUMENTS) -> ToxicityModel:
-    return train(*training_rows(docs, labels, label, id_col, text_col, most))
+        most: int = FIT_DOCUMENTS, chain_documents: int = CHAIN_DOCUMENTS) -> ToxicityModel:
+    """``most`` and ``chain_documents`` bound the labelled documents of a class that are learned from; both are drawn by hash."""
+    return train(*training_rows(docs, labels, label, id_col, text_col, most), chain_documents)
 
 
 def tag(model: ToxicityModel, text: Column | str) -> Column:

@@ -138,3 +138,67 @@ def test_line_marginals_tell_lines_apart(spark):
     model = quality.fit(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
     lines = quality.line_marginals(model, "Et la queaux de la mention. Le re.\nAN!! THE!! THE!! ONBLETI!! ON!! ED!! AN!! THE!! OF!! RE!!")
     assert lines["good"][0] > lines["good"][1]
+
+
+def plain_marginals(chain, slots, n):
+    """Forward-backward of one sequence, step by step with sums over both labels."""
+    def sums(values):
+        top = max(values)
+        return top + np.log(sum(np.exp(v - top) for v in values))
+
+    evidence = [(0.0, chain.bias + sum(w[s[i]] for w, s in zip(chain.emission, slots))) for i in range(n)]
+    ahead = [[evidence[0][0], evidence[0][1] + chain.start]]
+    for i in range(1, n):
+        ahead.append([evidence[i][j] + sums([ahead[-1][k] + chain.trans[k, j] for k in (0, 1)]) for j in (0, 1)])
+    behind = [[0.0, 0.0]]
+    for i in range(n - 2, -1, -1):
+        behind.append([sums([chain.trans[j, k] + evidence[i + 1][k] + behind[-1][k] for k in (0, 1)]) for j in (0, 1)])
+    behind.reverse()
+    return [1 / (1 + np.exp(a[0] + b[0] - a[1] - b[1])) for a, b in zip(ahead, behind)]
+
+
+def calibrated(model, odds):
+    return 1 / (1 + np.exp(-(model.slope * odds + model.shift)))
+
+
+def test_quality_scores_equal_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    model = quality.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    got = {r.doc_id: r.score for r in queries.QUERIES["op1_quality"](spark, folder).collect()}
+    for r in spark.read.parquet(f"{folder}/documents.parquet").where("length(text) < 1500").collect():
+        own = [tuple(int(np.searchsorted(edges, v)) for edges, v in zip(quality.MEASURES, m)) for m in quality.measures(r.text.encode().split(b"\n"))]
+        n, none = len(own), tuple(quality.BINS)
+        slots = list(zip(*own)) + list(zip(*[none, *own[:-1]])) + list(zip(*[*own[1:], none]))
+        weight = [len(line.encode()) + 1 for line in r.text.split("\n")]
+        good = sum(p * w for p, w in zip(plain_marginals(model.chain, slots, n), weight)) / sum(weight)
+        good = min(max(good, 1e-4), 1 - 1e-4)
+        assert abs(got[r.doc_id] - calibrated(model, np.log(good / (1 - good)))) < 1e-6
+
+
+def test_toxicity_scores_equal_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    model = toxicity.fit(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    got = {r.doc_id: r.score for r in queries.QUERIES["op2_toxicity"](spark, folder).collect()}
+    part = lambda text: 1 + zlib.crc32(text.encode()) % (toxicity.HASH_SIZE - 1) if text else 0
+    for r in spark.read.parquet(f"{folder}/documents.parquet").where("length(text) < 1500").collect():
+        words = [w.lower() for w in toxicity.TOKEN.findall(r.text)]
+        if not words:
+            continue
+        entry = [next((model.vocabulary[u] for u in toxicity.units_of(w) if u in model.vocabulary), 0) for w in words]
+        edge = len(model.vocabulary) + 1
+        slots = [entry, [edge, *entry[:-1]], [*entry[1:], edge], *([part(w[:n] if len(w) > n else "") for w in words] for n in toxicity.BEGINNINGS),
+                 [part(w[-toxicity.ENDING:] if len(w) > toxicity.ENDING else "") for w in words], [part(w) for w in words],
+                 [min(len(w), 15) + 16 * (not w.isalpha()) + 32 * (not w.isascii()) for w in words]]
+        top = min(max(max(plain_marginals(model.chain, slots, len(words))), 1e-6), 1 - 1e-6)
+        assert abs(got[r.doc_id] - calibrated(model, np.log(top / (1 - top)))) < 1e-6
+
+
+def test_held_out_toxic_documents_are_found(spark):
+    """At this size about one toxic label in eight stands on a text with no trace of it, so 0.85 is nearly all of the rest."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet").where("toxic is not null")
+    held = docs.join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    rows = held.select("toxic", toxicity.tag(toxicity.fit(docs, labels), "text")["score"].alias("score")).collect()
+    found = [r.score >= toxicity.THRESHOLD for r in rows if r.toxic]
+    wrong = [r.score >= toxicity.THRESHOLD for r in rows if not r.toxic]
+    assert sum(found) / len(found) >= 0.85 and sum(wrong) / len(wrong) <= 0.02
