@@ -17,6 +17,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 WORDS = 5
@@ -26,9 +27,10 @@ LOW_BITS = 8
 #: Bins that an empty bin looks at one by one before it ranks all filled ones; few texts are short enough to need that.
 TRIES = 16
 BLANK = r"[\x20\x09-\x0D]+"
-#: Rows of one ordered bucket, and the most buckets (their cut points are what the driver holds).
+#: Rows of one ordered bucket. Buckets are cut in two levels, each at most so many ways: the driver holds at most a million
+#: cut points, and buckets grow beyond 500 rows only from 500 million rows on (50 MB of text for each ten thousand).
 BUCKET_ROWS = 500
-MOST_BUCKETS = 1000
+MOST_CUTS = 1000
 
 
 def words_of(text: Column) -> Column:
@@ -89,24 +91,32 @@ def likeness(a: Column | str, b: Column | str) -> Column:
             .otherwise(F.greatest(F.lit(0.0), (equal - chance) / (1 - chance))))
 
 
+def _passed(cuts: Column, id_col: str) -> Column:
+    """How many of the cut points an id has reached."""
+    return F.coalesce(F.size(F.filter(cuts, lambda c: c <= F.col(id_col))), F.lit(0))
+
+
 def with_guards(rows: DataFrame, ids: DataFrame, id_col: str = "id") -> DataFrame:
     """Rows in ordered buckets of about even size (``bucket``), the first rows of the next bucket added to each
     (``guard``), so that a row finds its successor in its own bucket. ``ids`` is the id column of the same rows."""
     seen = ids.agg(F.count("*").alias("n"), F.count(id_col).alias("known")).first()
-    buckets = max(1, min(MOST_BUCKETS, math.ceil(seen.n / BUCKET_ROWS)))
-    cuts = []
-    if seen.known and buckets > 1:
-        steps = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(ids.agg(F.percentile_approx(id_col, steps, 20 * buckets).alias("q")).first().q))
-    limits = F.array(*(F.lit(c).cast(ids.schema[id_col].dataType) for c in cuts)) if cuts else None
-    number = F.coalesce(F.size(F.filter(limits, lambda c: c <= F.col(id_col))), F.lit(0)) if cuts else F.lit(0)
-    number = F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(number)
+    buckets = math.ceil(seen.n / BUCKET_ROWS) if seen.known else 1
+    ways = min(MOST_CUTS, math.ceil(math.sqrt(buckets)))
+    kind = ids.schema[id_col].dataType
+    steps = F.percentile_approx(id_col, [i / ways for i in range(1, ways)], 20 * ways).alias("q") if ways > 1 else None
+    number = F.lit(0)
+    if ways > 1:
+        coarse = sorted(set(ids.agg(steps).first().q))
+        above = _passed(F.array(*(F.lit(c).cast(kind) for c in coarse)), id_col)
+        within = {r.part: sorted(set(r.q)) for r in ids.where(F.col(id_col).isNotNull()).groupBy(above.alias("part")).agg(steps).collect()}
+        fine = F.array(*(F.array(*(F.lit(c).cast(kind) for c in within.get(i, []))).cast(T.ArrayType(kind)) for i in range(len(coarse) + 1)))
+        number = above * ways + _passed(F.get(fine, above), id_col)
+    number = F.when(F.col(id_col).isNull(), F.lit(0)).otherwise(number).cast("int")
     starts = (ids.select(id_col).withColumn("bucket", number).groupBy("bucket")
               .agg(F.min(id_col).alias("low"), F.max(F.col(id_col).isNull()).alias("has_null")).collect())
     order = sorted(((r.bucket, None if r.has_null else r.low) for r in starts))
     guards = [(b, order[(i + 1) % len(order)][1]) for i, (b, _) in enumerate(order)]
-    kind = ids.schema[id_col].dataType.simpleString()
-    ahead = rows.sparkSession.createDataFrame(guards, f"bucket int, first {kind}")
+    ahead = rows.sparkSession.createDataFrame(guards, f"bucket int, first {kind.simpleString()}")
     own = rows.withColumn("bucket", number).withColumn("guard", F.lit(False))
     extra = rows.join(F.broadcast(ahead), rows[id_col].eqNullSafe(ahead["first"])).drop("first").withColumn("guard", F.lit(True))
     return own.unionByName(extra)
