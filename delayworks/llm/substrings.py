@@ -43,7 +43,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words of the stretches that one automaton serves.
 SHARD_WORDS = 400_000
 #: Stretches of an anchor that one task may take.
-CROWD = 500
+CROWD = 2_000
 #: Anchors whose stretches are counted by hash are looked up by broadcast up to this many, joined beyond.
 BROADCAST_ROWS = 100_000
 BLOCK_BYTES = 1 << 20
