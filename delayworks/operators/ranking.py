@@ -137,7 +137,8 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
     group = strata or ["_g"]
     base = df if strata else df.withColumn("_g", F.lit(0))
     every = [F.col(f"`{c}`") for c in df.columns]
-    hashed = base.withColumns({"_h": hash_key(keys), "_t": F.md5(F.to_json(F.struct(*every)))})
+    hashed = base.withColumn("_h", hash_key(keys))
+    whole_row = F.md5(F.to_json(F.struct(*every)))  # only where rows of one key are told apart
     per = Window.partitionBy(*group)
     total = F.sum("n").over(per)
     quota = F.lit(limit) if fraction is None else F.floor(total * F.lit(fraction))
@@ -150,13 +151,14 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
     edge = spots.where(falls).select(*group, "_p", "n", (F.col("_quota") - F.col("before")).alias("_need"))
     digits = PREFIX
     while digits < HASH_DIGITS and (edge.agg(F.max("n")).first()[0] or 0) > EDGE_ROWS:
-        inside = _in_slice(hashed, edge, group, digits)
+        inside = _in_slice(hashed.select(*group, "_h"), edge, group, digits)
         digits += PREFIX
         counts = inside.groupBy(*group, F.substring("_h", 1, digits).alias("_p"), "_need").agg(F.count("*").alias("n"))
         finer = stage(counts.withColumn("before", before), "histogram")
         falls = (F.col("before") < F.col("_need")) & (F.col("before") + F.col("n") >= F.col("_need"))
         edge = finer.where(falls).select(*group, "_p", "n", (F.col("_need") - F.col("before")).alias("_need"))
-    counted = _in_slice(hashed, edge, group, digits).groupBy(*group, "_h", "_t", "_need").agg(F.count("*").alias("n"))
+    inside = _in_slice(hashed, edge, group, digits).withColumn("_t", whole_row)
+    counted = inside.groupBy(*group, "_h", "_t", "_need").agg(F.count("*").alias("n"))
     upto = counted.withColumn("_upto", F.sum("n").over(per.orderBy("_h", "_t").rowsBetween(Window.unboundedPreceding, 0)))
     reached = (F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("n") < F.col("_need"))
     cut = upto.where(reached).select(*group, F.col("_h").alias("_cut_h"), F.col("_t").alias("_cut_t"),
@@ -165,8 +167,9 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
     bounds = stage(bounds, "bounds")  # one row per stratum
     rows = lookup_join(hashed, bounds, group, "inner", null_safe=True)
     whole = F.col("_quota") >= F.col("_all")
-    first = (F.col("_h") < F.col("_cut_h")) | ((F.col("_h") == F.col("_cut_h")) & (F.col("_t") < F.col("_cut_t")))
-    at_cut = F.coalesce(~whole & (F.col("_h") == F.col("_cut_h")) & (F.col("_t") == F.col("_cut_t")), F.lit(False))
+    told = F.when(F.col("_h") == F.col("_cut_h"), whole_row)
+    first = (F.col("_h") < F.col("_cut_h")) | (told < F.col("_cut_t"))
+    at_cut = F.coalesce(~whole & (told == F.col("_cut_t")), F.lit(False))
     clear = rows.where(~at_cut).withColumn(flag, whole | F.coalesce(first, F.lit(False))).select(*every, flag)
     copies = (rows.where(at_cut).groupBy(*group, "_take").agg(F.count("*").alias("n"), F.first(F.struct(*every)).alias("_row"))
               .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))))
@@ -175,7 +178,7 @@ def hash_select(df: DataFrame, keys: list[str], strata: list[str] | None = None,
 
 def _in_slice(hashed: DataFrame, edge: DataFrame, group: list[str], digits: int) -> DataFrame:
     """Rows of the slices in ``edge``, with how many of them are wanted."""
-    keyed = hashed.select(*group, "_h", "_t", F.substring("_h", 1, digits).alias("_p"))
+    keyed = hashed.withColumn("_p", F.substring("_h", 1, digits))
     return lookup_join(keyed, edge.select(*group, "_p", "_need"), [*group, "_p"], "inner", null_safe=True)
 
 

@@ -224,3 +224,44 @@ def test_search_is_taken_up_where_it_stopped(spark, tmp_path, monkeypatch):
     again = len(fits)
     run()
     assert len(fits) == again and models.with_probabilities(model.transform(df)).count() == 240
+
+
+def test_credit_scores_equal_a_plain_regression(spark, small):
+    """Medians, modes, one-hot columns, scaling and the weighted, penalised fit once more in numpy."""
+    from delayworks.operators import joins, runs
+    from delayworks.plans import fixtures as fx
+    from delayworks.plans import jobs
+    from delayworks.plans.catalog import learning
+
+    numbers, texts = ["fe_1", "fe_2", "fe_3"], ["Occupation", "Age_bin"]
+    model, trials, _ = learning.credit_model(spark, small)
+    penalty = float(trials.where("best").first().param_value)
+    labels = runs.latest_label(fx.labels(spark, small), "load_order").select("Customer_ID", "snapshot_date", "label")
+    rows = joins.features_with_labels(fx.features(spark, small), labels).where("label is not null")
+    rows = rows.withColumns({c: F.col(c).try_cast("double") for c in (*numbers, "label")})
+    rows = stage(prep.oot_split(rows, "label_snapshot_date", "2000-01-01", 36, 6), "windows").where("split = 'train_test'").drop("split")
+    train = prep.stratified_split(rows, ["feature_id"], "label").where("split = 'train'").toPandas()
+    median = {c: train[c].median() for c in numbers}
+    mode = {c: sorted(train[c].dropna().value_counts().items(), key=lambda x: (-x[1], x[0]))[0][0] for c in texts}
+    values = {c: sorted(train[c].fillna(mode[c]).unique()) for c in texts}
+
+    def design(df):
+        columns = [df[c].fillna(median[c]) for c in numbers] + [df[c].fillna(mode[c]) == v for c in texts for v in values[c]]
+        return np.column_stack([np.asarray(c, float) for c in columns])
+
+    x, y = design(train), train["label"].to_numpy(float)
+    mean, spread = x.mean(axis=0), x.std(axis=0, ddof=1)
+    spread[spread == 0] = 1.0
+    counts = {k: (y == k).sum() for k in set(y)}
+    w = np.array([len(y) / (len(counts) * counts[k]) for k in y])
+    z, beta = np.c_[(x - mean) / spread, np.ones(len(y))], np.zeros(x.shape[1] + 1)
+    ridge = np.r_[np.full(x.shape[1], penalty), 0.0]
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ beta))
+        curve = (z * (w * p * (1 - p))[:, None]).T @ z / w.sum() + np.diag(ridge) + 1e-12 * np.eye(len(beta))
+        beta -= logistic.solved(curve, z.T @ (w * (p - y)) / w.sum() + ridge * beta)
+    asked = fx.features(spark, small).where("label_snapshot_date = date '2000-02-01'").withColumns({c: F.col(c).try_cast("double") for c in numbers}).toPandas()
+    expected = dict(zip(asked["Customer_ID"], 1 / (1 + np.exp(-(np.c_[(design(asked) - mean) / spread, np.ones(len(asked))] @ beta)))))
+    got = {r.Customer_ID: r.default_proba for r in jobs.credit_scores(model, fx.features(spark, small), "2000-02-01").collect()}
+    assert got.keys() == expected.keys() and len(got) > 3
+    assert all(abs(got[k] - expected[k]) < 2e-3 for k in got)
