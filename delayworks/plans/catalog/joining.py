@@ -74,12 +74,13 @@ def gold_combined(spark, d):
     WHERE snapshot_date = DATE '{DAY}'""", "combined"))
 def gold_combined_daily(spark, d):
     """The daily job on stored tables: one slice of gold, made with the statistics of all of silver, and one of weather."""
-    silver = fl.silver_by_day(spark, d)
+    silver = fl.stored_silver(spark, d)
     gold, weather = scratch_path(spark, "gold"), scratch_path(spark, "weather")
-    near = F.col("snapshot_date").between(F.date_sub(F.lit(DAY).cast("date"), 3), F.date_add(F.lit(DAY).cast("date"), 3))
-    week = jobs.gold_flights(silver.where(near), history=silver).drop("processing_timestamp")
+    day = F.lit(DAY).cast("date")
+    first, last = F.date_sub(day, 3), F.date_add(day, 3)
+    week = jobs.gold_flights(silver.where(F.col("FlightDate").between(first, last)), history=silver).drop("processing_timestamp")
     sinks.write_partitioned(week, gold, "snapshot_date", jobs.BRONZE_ORDER[1:])
-    sinks.write_cutoff_split(wx.silver(spark, d), weather, "date", DAY, ["time"])
+    sinks.write_cutoff_split(wx.silver(spark, d).where(F.col("date") <= last), weather, "date", DAY, ["time"])
     return fl.rounded_score(jobs.gold_combined(spark.read.parquet(gold), spark.read.parquet(weather), DAY).drop("slice"))
 
 
