@@ -135,14 +135,14 @@ def test_inverse_by_elimination():
 
 
 def test_a_large_plan_ends_in_a_process_that_has_forked(spark):
-    """The table of scale 0.1, with many classes: encoding and plan end within the limit."""
+    """The table of scale 0.1, with many classes: encoding and plan end within five minutes."""
     import signal
 
     def late(*_):
         raise TimeoutError("packing did not end")
 
     signal.signal(signal.SIGALRM, late)
-    signal.alarm(90)
+    signal.alarm(300)
     try:
         placed = queries.QUERIES["op3_packing"](spark, "/root/testdata/sf0.1").groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(
             F.max("n"), F.sum("n"), F.count("*")).first()
