@@ -32,6 +32,8 @@ FIT_DOCUMENTS = 1500
 CHAIN_DOCUMENTS = 300
 #: Hashed parts of a word: beginnings of so many letters, the ending, the whole, each in a table of its own.
 BEGINNINGS, ENDING, HASH_SIZE = (4, 6, 8), 3, 1 << 14
+#: Documents whose features the driver holds together after the weights are fitted.
+FIT_STEP = 100
 STEMS = (5, 4)
 THRESHOLD = 0.7
 TOKEN = re.compile(r"\w+")
@@ -215,8 +217,8 @@ def train(texts: list[str], labels: np.ndarray, chain_documents: int = CHAIN_DOC
     marks = (is_toxic[ids] & (np.repeat(part_labels, sizes) == 1)).astype(int)
     chain = crf.fit(slots, [len(known) + 2] * 3 + PART_SIZES, marks, starts_of(sizes), rounds=60, rate=0.3)
     model = ToxicityModel(chain, model.vocabulary, 1.0, 0.0)
-    p, sizes = model.marginals(documents)
-    slope, shift = crf.logistic(top_logit(p, sizes), labels.astype(float))
+    odds = [top_logit(*model.marginals(documents[k:k + FIT_STEP])) for k in range(0, len(documents), FIT_STEP)]
+    slope, shift = crf.logistic(np.concatenate(odds), labels.astype(float))
     return ToxicityModel(chain, model.vocabulary, slope, shift)
 
 
