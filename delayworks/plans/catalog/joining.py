@@ -24,7 +24,7 @@ DAY = "1998-06-15"
 
 def combined(spark, d, merge=False, **options):
     weather = wx.silver(spark, d)
-    return jobs.gold_combined(fl.gold(spark, d), weather.hint("merge") if merge else weather, **options)
+    return jobs.gold_combined(fl.gold(spark, d), weather.hint("merge") if merge else weather, stored=not merge, **options)
 
 
 @query("join_departure_weather", sql(f"SELECT {fl.ID_SQL}, {SOME_SQL} FROM combined WHERE leg = 'dep'", "combined"))
