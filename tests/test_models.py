@@ -265,3 +265,36 @@ def test_credit_scores_equal_a_plain_regression(spark, small):
     got = {r.Customer_ID: r.default_proba for r in jobs.credit_scores(model, fx.features(spark, small), "2000-02-01").collect()}
     assert got.keys() == expected.keys() and len(got) > 3
     assert all(abs(got[k] - expected[k]) < 2e-3 for k in got)
+
+
+def test_many_rows_are_boosted_alike_from_histograms(spark, monkeypatch):
+    """Few distinct values: both ways have the same candidates, so trees, importances and probabilities agree."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(2000):
+        a, b, c = rng.randint(0, 20), rng.randint(0, 1), rng.randint(0, 30) / 7
+        rows.append((i, rng.choices((0, 1, 2), (4 + a % 5 * b, 2 + c, 1 + 2 * (a > 12)))[0], float(a), float(b), c, rng.choice((0.5, 1.0, 2.0))))
+    df = spark.createDataFrame(rows, "i long, y int, a double, b double, c double, weight double").repartition(5)
+    df = stage(VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df), "rows")
+    monkeypatch.setattr(boosting.histograms, "STORED_EVERY", 2)
+    found = []
+    for most in (1 << 40, 0):
+        monkeypatch.setattr(boosting, "LEARNER_ROWS", most)
+        fit = boosting.fit_softmax(df, "y", (0, 1, 2), maxIter=5, maxDepth=4, stepSize=0.3)
+        model = boosting.boosted_pipeline([], fit)
+        shares = [s.featureImportances.toArray() for s in model.stages if hasattr(s, "featureImportances")]
+        found.append((shares, [tuple(r) for r in model.transform(df).select("proba_0", "proba_1", "proba_2").orderBy("i").collect()]))
+    assert len(found[0][0]) == 3 and np.allclose(found[0][0], found[1][0], atol=1e-9)
+    assert np.allclose(found[0][1], found[1][1], atol=1e-9)
+
+
+def test_bins_come_from_all_rows():
+    from delayworks.operators import histograms
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=20_000)
+    parts = [histograms.thinned(p, np.ones(len(p)), histograms.POINTS) for p in np.split(x, 4)]
+    assert all(len(v) <= histograms.POINTS and math.isclose(w.sum(), 5000) for v, w in parts)
+    found = histograms.cuts(*np.concatenate(parts, axis=1), 32)
+    assert len(found) == 31 and np.abs(np.searchsorted(np.sort(x), found) / len(x) - np.arange(1, 32) / 32).max() < 2e-3
+    assert list(histograms.cuts(np.array([3.0, 1.0, 1.0]), np.ones(3), 32)) == [2.0] and len(histograms.cuts(np.ones(4), np.ones(4), 32)) == 0
