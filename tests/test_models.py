@@ -298,3 +298,19 @@ def test_bins_come_from_all_rows():
     found = histograms.cuts(*np.concatenate(parts, axis=1), 32)
     assert len(found) == 31 and np.abs(np.searchsorted(np.sort(x), found) / len(x) - np.arange(1, 32) / 32).max() < 2e-3
     assert list(histograms.cuts(np.array([3.0, 1.0, 1.0]), np.ones(3), 32)) == [2.0] and len(histograms.cuts(np.ones(4), np.ones(4), 32)) == 0
+
+
+def test_held_out_margins_are_dealt_out_by_number(spark, monkeypatch):
+    """A row gives a margin for each penalty: one stored file must not mean one task for all of them."""
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1), i % 2, i % 3) for i in range(600)]
+    df = VectorAssembler(inputCols=["a"], outputCol="features").transform(spark.createDataFrame(rows, "a double, label int, fold int"))
+    df = stage(df.coalesce(1), "rows")
+    pairs = [(fold, s) for s in (0.1, 1.0, 10.0, 100.0) for fold in (0, 1, 2)]
+    beta = np.array([[k + 1.0, 0.5] for k in range(len(pairs))])
+    monkeypatch.setattr(logistic, "SCORES_A_TASK", 300)
+    scored = logistic.held_out_scores(df, "label", pairs, beta)
+    sizes = [r["count"] for r in scored.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 2400 and len(sizes) >= 6 and max(sizes) <= 600
+    want = sorted((k, round(a * (k + 1) + 0.5, 9), y) for a, y, f in rows for k, (held, _) in enumerate(pairs) if held == f)
+    assert sorted((r["class"], round(r.score, 9), r.hit) for r in scored.collect()) == want
