@@ -288,6 +288,26 @@ def test_many_rows_are_boosted_alike_from_histograms(spark, monkeypatch):
     assert np.allclose(found[0][1], found[1][1], atol=1e-9)
 
 
+def test_encoded_columns_are_one_code_each_in_histograms(spark, monkeypatch):
+    """A category is one byte a row, not one for each of its values; the trees agree with those of the library's learner."""
+    rng = random.Random(4)
+    rows = []
+    for _ in range(1200):
+        a, g, h = rng.randint(0, 9), rng.choice("abcdefghijkl"), rng.choice(("x", "y", None))
+        rows.append((rng.choices((0, 1, 2), (3 + a, 2 + 6 * (g in "bdk"), 1 + 5 * (h == "x")))[0], float(a), g, h, rng.choice((0.5, 1.0, 2.0))))
+    df = stage(spark.createDataFrame(rows, "y int, a double, g string, h string, weight double").repartition(3), "rows")
+    stored, real = {}, boosting.histograms.stage
+    monkeypatch.setattr(boosting.histograms, "stage", lambda table, name: stored.setdefault(name, real(table, name)))
+    found = []
+    for most in (1 << 40, 0):
+        monkeypatch.setattr(boosting, "LEARNER_ROWS", most)
+        model = models.fit_multiclass(df, "y", ["a"], ["g", "h"], maxIter=3, maxDepth=3, stepSize=0.3)
+        probed = model.transform(df.select("a", "g", "h").distinct().orderBy("a", "g", "h"))
+        found.append([tuple(r) for r in probed.select("proba_0", "proba_1", "proba_2").collect()])
+    assert np.allclose(found[0], found[1], atol=1e-9)
+    assert {r.n for r in stored["binned"].select(F.octet_length("codes").alias("n")).collect()} == {3}
+
+
 def test_bins_come_from_all_rows():
     from delayworks.operators import histograms
 
