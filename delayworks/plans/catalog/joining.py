@@ -12,7 +12,7 @@ from delayworks.plans.catalog import weather as wx
 from delayworks.plans.oracle import GOLD_COLUMNS, WEATHER_FEATURES, sql
 from delayworks.plans.registry import query
 from delayworks.sources import sinks
-from delayworks.sources.staging import scratch_path, stage
+from delayworks.sources.staging import scratch_path
 
 GOLD_SQL = ", ".join(f'"{c}"' for c in GOLD_COLUMNS)
 WEATHER_SQL = ", ".join(f'"weather_{c}"' for c in WEATHER_FEATURES)
@@ -166,6 +166,6 @@ def validate_gold(spark, d):
         ("flight_columns", str(len(GOLD_COLUMNS) - 1), INFO), *[(f"class_{k}_rows", f"c{k}", INFO) for k in (0, 1, 2)],
         ("weather_rows", "w", _test("w >= 0.8 * n")), ("flight_date_columns", "1", _test("true")), ("required_columns", "5", _test("true"))]), "combined"))
 def validate_combined(spark, d):
-    gold = stage(fl.gold(spark, d), "gold")
+    gold = fl.gold(spark, d)  # silver and the lookups are stored; of gold only what is checked is computed
     joined = jobs.gold_combined(gold, wx.silver(spark, d))
     return validate.validate_combined(joined, gold.agg(F.count("*")).scalar())
