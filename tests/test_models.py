@@ -334,3 +334,15 @@ def test_held_out_margins_are_dealt_out_by_number(spark, monkeypatch):
     assert sum(sizes) == 2400 and len(sizes) >= 6 and max(sizes) <= 600
     want = sorted((k, round(a * (k + 1) + 0.5, 9), y) for a, y, f in rows for k, (held, _) in enumerate(pairs) if held == f)
     assert sorted((r["class"], round(r.score, 9), r.hit) for r in scored.collect()) == want
+
+
+def test_training_learns_from_all_of_train(spark, monkeypatch):
+    from delayworks.plans import jobs
+
+    rows = [(f"2024-{1 + i % 12:02d}-10", i, i % 3, float(i % 7)) for i in range(240)]
+    df = spark.createDataFrame(rows, "FlightDate string, k int, IS_DELAYED int, DISTANCE double")
+    monkeypatch.setattr(prep, "row_cap", lambda *_: pytest.fail("a sample was taken"))
+    learned, real = [], boosting.fit_softmax
+    monkeypatch.setattr(boosting, "fit_softmax", lambda ready, *a, **k: learned.append(ready.count()) or real(ready, *a, **k))
+    _, split, report = jobs.training_metrics(df, months=(12, 1, 2), keys=["k"], maxIter=1, maxDepth=1)
+    assert learned == [split.where("split = 'train'").count()] and report.where("split = 'test'").count() > 0
