@@ -336,6 +336,91 @@ def test_held_out_margins_are_dealt_out_by_number(spark, monkeypatch):
     assert sorted((r["class"], round(r.score, 9), r.hit) for r in scored.collect()) == want
 
 
+# --- many rows ----------------------------------------------------------------
+
+def coarse_classes(spark, n=2400, seed=12):
+    """Classes along numbers with few distinct values and a category, every third row held out."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        a, g = rng.randint(0, 20), rng.choice("abcdefg")
+        rows.append((i, rng.choices((0, 1, 2), (4 + a % 5, 2 + 3 * (g in "bd"), 1 + 2 * (a > 12)))[0], float(a), rng.randint(0, 30) / 7, g, rng.choice((0.5, 1.0, 2.0)), i % 3 == 0))
+    return stage(spark.createDataFrame(rows, "i long, y int, a double, b double, g string, weight double, held boolean").repartition(5), "rows")
+
+
+def test_held_out_rows_stop_the_boosting_of_many_rows_alike(spark, monkeypatch):
+    """A validation column does not send many rows to the learner of the library; losses and rounds are the same."""
+    df = coarse_classes(spark)
+    prepared = Pipeline(stages=models.feature_stages(df, ["a", "b"], ["g"])).fit(df)
+    ready, parts = stage(prepared.transform(df), "ready"), models.feature_parts(prepared, ["a", "b"], ["g"])
+    monkeypatch.setattr(boosting.histograms, "STORED_EVERY", 2)
+    found = []
+    for most in (1 << 40, 0):
+        monkeypatch.setattr(boosting, "LEARNER_ROWS", most)
+        found.append(boosting.fit_softmax(ready, "y", (0, 1, 2), maxIter=9, maxDepth=3, stepSize=1.0, validation="held", patience=2, **parts))
+        monkeypatch.setattr(boosting, "RandomForestRegressor", lambda **_: pytest.fail("the library's learner was asked for many rows"))
+    assert len(found[0].losses) < 9 and np.allclose(found[0].losses, found[1].losses, atol=1e-9) and found[0].best == found[1].best
+
+
+def test_trees_of_many_rows_draw_rows_and_features(spark, monkeypatch):
+    """The rows of a tree are the same in all its passes: children have the weight of their parent; a node asks few features."""
+    from delayworks.operators import histograms
+
+    monkeypatch.setattr(boosting, "LEARNER_ROWS", 0)
+    df = stage(VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(coarse_classes(spark, 6000)), "rows")
+    drawn, real = [], histograms._best
+    monkeypatch.setattr(histograms, "_best", lambda table, columns, smallest, marks=None: drawn.append((table[0, 0], marks)) or real(table, columns, smallest, marks))
+    whole = boosting.fit_softmax(df, "y", (0, 1, 2), maxIter=1, maxDepth=1)
+    mass = [weight for weight, marks in drawn if marks is None]
+    drawn.clear()
+    fit = boosting.fit_softmax(df, "y", (0, 1, 2), maxIter=2, maxDepth=3, subsamplingRate=0.7, featureSubsetStrategy="0.5")
+    assert len(whole.rounds) == 1 and len(mass) == 3 and len(fit.rounds) == 2
+    assert all(abs(weight / m - 0.7) < 0.04 for (weight, _), m in zip(drawn[:3], mass)) and len({round(w / m, 9) for (w, _), m in zip(drawn[:3], mass)}) == 3
+    assert all(marks.sum() == 1 for _, marks in drawn) and {int(np.argmax(marks)) for _, marks in drawn} == {0, 1}
+    for tree in (t for trees in fit.rounds for t in trees):
+        root = tree._java_obj.rootNode()
+        if root.getClass().getSimpleName() == "InternalNode":
+            parts = [root.leftChild().impurityStats().stats()[0], root.rightChild().impurityStats().stats()[0]]
+            assert math.isclose(sum(parts), root.impurityStats().stats()[0], rel_tol=1e-9)
+    assert [histograms.features_a_node(s, 10) for s in ("all", "1.0", "0.73", "3", "30", "sqrt", "onethird", "log2")] == [10, 10, 8, 3, 10, 4, 4, 4]
+
+
+def test_many_rows_are_read_in_blocks(spark, monkeypatch):
+    """A pass reads a record for many rows, not one for each."""
+    monkeypatch.setattr(boosting, "LEARNER_ROWS", 0)
+    stored, real = {}, boosting.histograms.stage
+    monkeypatch.setattr(boosting.histograms, "stage", lambda table, name: stored.setdefault(name, real(table, name)))
+    df = coarse_classes(spark, 2400)
+    models.fit_multiclass(df, "y", ["a", "b"], ["g"], maxIter=1, maxDepth=1)
+    blocks = stored["blocks"]
+    assert stored["binned"].count() == 2400 and 75 <= blocks.count() <= 75 + 8
+    assert blocks.agg(F.sum(F.octet_length("w")) / 8).first()[0] == blocks.count() * 32
+
+
+def test_medians_of_many_rows_are_exact(spark, monkeypatch):
+    from delayworks.operators import histograms
+
+    rng = random.Random(6)
+    rows = [(rng.choice((None, math.nan, float(rng.randint(0, 300)))), float(i % 5), None if i % 2 else i * 0.5) for i in range(5001)]
+    df = stage(spark.createDataFrame(rows, "a double, b double, c double").repartition(4), "rows")
+    known = [sorted(v for v in column if v is not None and not math.isnan(v)) for column in zip(*rows)]
+    want = [v[math.ceil(len(v) / 2) - 1] for v in known]
+    assert histograms.medians(df, ["a", "b", "c"]) == want
+    monkeypatch.setattr(boosting, "LEARNER_ROWS", 0)
+    filled = Pipeline(stages=models.feature_stages(df, ["a", "b", "c"], [])).fit(df).transform(df.where("a is null and c is null").limit(1)).first()
+    assert [filled.a_filled, filled.c_filled] == [want[0], want[2]]
+    monkeypatch.setattr(histograms, "MEDIAN_POINTS", 50)
+    for v, m in zip(known, histograms.medians(df, ["a", "b", "c"])):
+        assert abs(np.searchsorted(v, m) / len(v) - 0.5) < 0.2 and m in v
+
+
+def test_values_are_numbered_from_their_counts(spark):
+    """Rows are not read again to number the values of categorical columns."""
+    df = stage(spark.createDataFrame([("b",), ("a",), (None,), ("b",), ("c d",)], "g string").withColumn("n", F.lit(1.0)), "rows")
+    fitted = next(s for s in models.feature_stages(df, ["n"], ["g"]) if s.hasParam("stringOrderType"))
+    assert [*map(list, fitted.labelsArray)] == [["a", "b", "c d"]]
+
+
 def test_training_learns_from_all_of_train(spark, monkeypatch):
     from delayworks.plans import jobs
 
