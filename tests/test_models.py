@@ -385,6 +385,17 @@ def test_trees_of_many_rows_draw_rows_and_features(spark, monkeypatch):
     assert [histograms.features_a_node(s, 10) for s in ("all", "1.0", "0.73", "3", "30", "sqrt", "onethird", "log2")] == [10, 10, 8, 3, 10, 4, 4, 4]
 
 
+def test_the_settings_of_a_fold_share_its_codes(spark, monkeypatch):
+    from delayworks.operators import histograms
+
+    monkeypatch.setattr(boosting, "LEARNER_ROWS", 0)
+    coded, real = [], histograms.prepare
+    monkeypatch.setattr(histograms, "prepare", lambda *a, **k: coded.append(1) or real(*a, **k))
+    settings = [{"maxIter": 2, "maxDepth": 2, "subsamplingRate": 0.8}, {"maxIter": 1, "maxDepth": 1}, {"maxIter": 1, "maxDepth": 2, "featureSubsetStrategy": "0.6"}]
+    _, trials = models.tune_multiclass(coarse_classes(spark, 600).drop("held"), "y", ["a", "b"], ["g"], ["i"], settings)
+    assert len(coded) == models.FOLDS + 1 and {r.trial for r in trials.collect()} == {0, 1, 2}
+
+
 def test_many_rows_are_read_in_blocks(spark, monkeypatch):
     """A pass reads a record for many rows, not one for each."""
     monkeypatch.setattr(boosting, "LEARNER_ROWS", 0)
@@ -421,6 +432,16 @@ def test_values_are_numbered_from_their_counts(spark):
     assert [*map(list, fitted.labelsArray)] == [["a", "b", "c d"]]
 
 
+def test_the_search_query_learns_from_all_rows(spark, small, monkeypatch):
+    from delayworks.plans.catalog import flights, learning
+
+    asked = {}
+    monkeypatch.setattr(models, "tune_multiclass", lambda train, label, numeric, text, keys, settings, sample=None, **_: asked.update(rows=train.count(), sample=sample) or (None, train))
+    monkeypatch.setattr(prep, "row_cap", lambda *_: pytest.fail("a sample was taken"))
+    learning.tune_multiclass(spark, small)
+    assert asked == {"rows": flights.gold(spark, small).count(), "sample": None}
+
+
 def test_training_learns_from_all_of_train(spark, monkeypatch):
     from delayworks.plans import jobs
 
